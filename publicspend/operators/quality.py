@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+CHECK_FIELDS = "rule: string, column: string, observed: bigint, expected: bigint, passed: boolean"
+
+
 class QualityError(RuntimeError):
     """Raised when a table breaks its contract; the message lists the broken rules."""
 
@@ -54,8 +57,7 @@ def check(df: DataFrame, contract: Contract, as_of: dt.date | None = None) -> Da
         _rule("max_age", c, F.date_diff(today, F.max(c)), days)
         for c, days in contract.max_age.items()
     ]
-    # the count is carried along so that the aggregation exists whatever the rules are
-    result = df.agg(F.count("*"), F.array(*rules).alias("rules")).select(F.inline("rules"))
+    result = df.agg(_rules(rules)).select(F.inline("rules"))
     if contract.primary_key:
         result = result.unionAll(primary_key_check(df, contract.primary_key))
     return result
@@ -64,7 +66,7 @@ def check(df: DataFrame, contract: Contract, as_of: dt.date | None = None) -> Da
 def primary_key_check(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     repeated = df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
     rule = _rule("primary_key", ",".join(key), F.count("*"), 0)
-    return repeated.agg(F.array(rule).alias("rules")).select(F.inline("rules"))
+    return repeated.agg(_rules([rule])).select(F.inline("rules"))
 
 
 def same_rows_check(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -95,6 +97,10 @@ def enforce(*checks: DataFrame) -> None:
         raise QualityError("; ".join(lines))
 
 
+def _rules(rules: list[Column]) -> Column:
+    return F.array(*rules).cast(f"array<struct<{CHECK_FIELDS}>>").alias("rules")
+
+
 def _rule(
     name: str, column: str, observed: Column, expected: int, at_least: bool = False
 ) -> Column:

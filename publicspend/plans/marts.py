@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from publicspend.functions.measures import billions, null_safe_sum, percent_of_rows, stable_round
-from publicspend.operators.median import median_from_counts
+from publicspend.operators.median import group_medians
 from publicspend.rules import MIN_GROUP, UNKNOWN_REGION, UNKNOWN_SECTOR
 
 HAS_TENDERS, HAS_RECOVERY, HAS_COHESION = "anac_n_cig > 0", "pnrr_fin_pnrr > 0", "coe_n_progetti > 0"
@@ -93,48 +93,34 @@ def cost_mart(wide: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Tender base against final cost by region, area and sector.
 
     Two populations: projects with a base, and those with base and final cost on the same
-    tender, on which alone the deviation is measured. The rows are first added up per
-    deviation value, which spreads a large group over many tasks and gives the counts
-    the exact median needs.
+    tender, on which alone the deviation is measured.
     """
     keys = ["regione", "area", "settore_intervento"]
-    pct = F.col("anac_scostamento_pct")
-    paired_base, paired_final = "anac_importo_base_appaiata", "anac_importo_consuntivo_appaiato"
-    by_value = (
-        wide.where("anac_importo_base > 0")
-        .groupBy(
-            _known("regione", UNKNOWN_REGION),
-            "area",
-            _known("settore_intervento", UNKNOWN_SECTOR),
-            "anac_scostamento_pct",
-        )
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("anac_importo_base").alias("base"),
-            F.count_if(F.col("anac_n_cig_con_consuntivo") > 0).alias("with_final"),
-            F.sum(paired_base).alias(paired_base),
-            F.sum(paired_final).alias(paired_final),
-            F.sum("anac_n_varianti_qe").alias("variants"),
-        )
+    final, pct = F.col("anac_n_cig_con_consuntivo"), F.col("anac_scostamento_pct")
+    base_sum = F.sum("anac_importo_base_appaiata")
+    final_sum = F.sum("anac_importo_consuntivo_appaiato")
+    with_base = wide.where("anac_importo_base > 0").withColumns(
+        {
+            "regione": F.coalesce("regione", F.lit(UNKNOWN_REGION)),
+            "settore_intervento": F.coalesce("settore_intervento", F.lit(UNKNOWN_SECTOR)),
+        }
     )
     totals = (
-        by_value.groupBy(*keys)
+        with_base.groupBy(*keys)
         .agg(
-            F.sum("n").alias("n_cup_con_base"),
-            billions(F.sum("base")).alias("importo_base_mld"),
-            F.sum(F.when(pct.isNotNull(), F.col("n")).otherwise(0)).alias("n_cup_con_scostamento"),
-            F.sum(F.when(pct.isNull(), F.col("with_final")).otherwise(0)).alias("n_cup_parziali"),
-            billions(F.sum(paired_base)).alias("importo_base_appaiata_mld"),
-            billions(F.sum(paired_final)).alias("importo_consuntivo_appaiato_mld"),
-            billions(F.sum(paired_final) - F.sum(paired_base)).alias("scostamento_mld"),
-            F.sum(F.when(pct > 10, F.col("n")).otherwise(0)).alias("n_oltre_10pct"),
-            F.sum("variants").alias("n_varianti_qe"),
+            F.count("*").alias("n_cup_con_base"),
+            billions(F.sum("anac_importo_base")).alias("importo_base_mld"),
+            F.count(pct).alias("n_cup_con_scostamento"),
+            F.count_if((final > 0) & pct.isNull()).alias("n_cup_parziali"),
+            billions(base_sum).alias("importo_base_appaiata_mld"),
+            billions(final_sum).alias("importo_consuntivo_appaiato_mld"),
+            billions(final_sum - base_sum).alias("scostamento_mld"),
+            F.count_if(pct > 10).alias("n_oltre_10pct"),
+            F.sum("anac_n_varianti_qe").alias("n_varianti_qe"),
         )
         .where(F.col("n_cup_con_base") >= min_group)
     )
-    medians = median_from_counts(
-        by_value.select(*keys, "anac_scostamento_pct", "n"), keys, "anac_scostamento_pct", "n"
-    )
+    medians = group_medians(with_base, keys, "anac_scostamento_pct")
     result = totals.join(medians, keys, "left").select(
         *keys,
         "n_cup_con_base",

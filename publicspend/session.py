@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
