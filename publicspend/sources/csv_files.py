@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 QUOTE = '"'
+# A part of a file this long without the start of a record is taken for a quoting error.
+LONGEST_FIELD = 16 * 1024 * 1024
 
 
 def read_text_table(
@@ -15,24 +20,29 @@ def read_text_table(
     paths: str | list[str],
     sep: str = ";",
     encoding: str = "UTF-8",
+    whole_files: bool = False,
 ) -> DataFrame:
     """All columns as strings under the names in the header.
 
     A row with too few or too many fields, or a file whose header differs, stops the read.
-    A quoted field may span lines. Spark can cut a file into parts only where no field
-    does, so the files are looked through first, in parallel, and only those that need it
-    are read whole.
+
+    A quoted field may span lines. Spark can cut a file into parts only where none does, so
+    the files are first looked through, in parallel. Those with such a field have their lines
+    joined to records before parsing, again in parallel; that needs well-formed quoting and
+    stops without it. ``whole_files`` hands each file to one task instead.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    whole = files_with_open_quotes(spark, paths)
-    every = [r[0] for r in _listing(spark, paths).collect()]
-    parts = [p for p in every if p not in whole]
-    reads = [
-        _reader(spark, sep, encoding, multi_line).csv(files)
-        for files, multi_line in ((parts, False), (sorted(whole), True))
-        if files
-    ]
-    return reduce(DataFrame.unionByName, reads)
+    options = {"sep": sep, "encoding": encoding, "quote": QUOTE, "escape": QUOTE, "mode": "FAILFAST"}
+    reader = spark.read.options(header=True, enforceSchema=False, **options)
+    if whole_files:
+        return reader.option("multiLine", True).csv(paths)
+    broken = files_with_open_quotes(spark, paths)
+    intact = [f for f in _files(spark, paths) if f not in broken]
+    tables = [reader.csv(intact)] if intact else []
+    if broken:
+        records = join_lines(spark, sorted(broken), sep, encoding)
+        tables.append(_parse_records(records, options))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def files_with_open_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
@@ -46,22 +56,107 @@ def files_with_open_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
     return {row[0] for row in odd.select("file_path").distinct().collect()}
 
 
-def _quote_marks(text: Column) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, QUOTE, ""))
+def join_lines(spark: SparkSession, files: list[str], sep: str, encoding: str) -> DataFrame:
+    """``file, record, text``: one row per record, numbered from 1 in each file.
+
+    A line starts a record if the quote marks before it in the file add up to an even
+    number. Within each part Spark cuts from a file the marks are added up line by line,
+    and record starts counted for both cases, an even and an odd number before the part.
+    One row per part then tells which case holds and how many records came before.
+    """
+    part = ["file", "part"]
+    lines = (
+        spark.read.options(lineSep="\n", encoding=encoding)
+        .text(files)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("part"),
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+        )
+        .withColumn("marks", _quote_marks(F.col("value")))
+    )
+    upto = Window.partitionBy(*part).orderBy("line")
+    counted = (
+        lines.withColumn("odd_before", (F.sum("marks").over(upto) - F.col("marks")) % 2)
+        .withColumn("starts_if_even", F.sum(1 - F.col("odd_before")).over(upto))
+        .withColumn("starts_if_odd", F.sum("odd_before").over(upto))
+    )
+    earlier = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    is_odd = F.col("odd_part") == 1
+    parts = (
+        counted.groupBy(*part)
+        .agg(
+            F.sum("marks").alias("marks_in"),
+            F.sum(F.char_length("value")).alias("length"),
+            F.max("starts_if_even").alias("even"),
+            F.max("starts_if_odd").alias("odd"),
+        )
+        .withColumn("odd_part", F.coalesce(F.sum("marks_in").over(earlier), F.lit(0)) % 2)
+        .withColumn("records", F.when(is_odd, F.col("odd")).otherwise(F.col("even")))
+        .withColumn("first", F.coalesce(F.sum("records").over(earlier), F.lit(0)))
+        .select(
+            *part,
+            "odd_part",
+            F.when(
+                (F.col("records") == 0) & (F.col("length") > LONGEST_FIELD),
+                F.raise_error(F.concat(F.lit("quoted field never closed in "), "file")),
+            )
+            .otherwise(F.col("first"))
+            .alias("first"),
+        )
+    )
+    starts = F.when(is_odd, F.col("starts_if_odd")).otherwise(F.col("starts_if_even"))
+    outside = (F.col("odd_before") + F.col("odd_part")) % 2 == 0
+    numbered = counted.join(parts, part).select(
+        "file",
+        (F.col("first") + starts).alias("record"),
+        F.struct("part", "line", "value").alias("piece"),
+        (outside & (F.col("marks") % 2 == 0)).alias("complete"),
+    )
+    single = numbered.where("complete").select("file", "record", F.col("piece.value").alias("text"))
+    pieces = F.sort_array(F.collect_list("piece"))
+    joined = (
+        numbered.where(~F.col("complete"))
+        .groupBy("file", "record")
+        .agg(F.array_join(pieces["value"], "\n").alias("text"))
+    )
+    return _well_formed(single.unionAll(joined), sep)
+
+
+def _well_formed(records: DataFrame, sep: str) -> DataFrame:
+    """Records without the line end and blank lines; a stray quote mark stops the read."""
+    sep = re.escape(sep)
+    plain, quoted = f'[^"{sep}]*+', '"[^"]*+(?:""[^"]*+)*+"'
+    field = f"(?:{quoted}|{plain})"
+    text = F.regexp_replace("text", r"\r$", "")
+    error = F.concat(F.lit("quote mark inside an unquoted field in "), "file")
+    return (
+        records.withColumn("text", text)
+        .where(F.col("text") != "")
+        .withColumn(
+            "text",
+            F.when(F.col("text").rlike(f"^{field}(?:{sep}{field})*+$"), F.col("text")).otherwise(
+                F.raise_error(error)
+            ),
+        )
+    )
 
 
-def _listing(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths).select("path").distinct()
+def _parse_records(records: DataFrame, options: dict[str, str]) -> DataFrame:
+    headers = [r[0] for r in records.where("record = 1").select("text").distinct().collect()]
+    if len(headers) != 1:
+        raise ValueError(f"files differ in their header: {headers}")
+    names = next(csv.reader(io.StringIO(headers[0]), delimiter=options["sep"]))
+    schema = ", ".join(f"`{name}` string" for name in names)
+    parsed = F.from_csv("text", schema, options)
+    return records.where("record > 1").select(parsed.alias("row")).select("row.*")
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
-    return spark.read.options(
-        header=True,
-        sep=sep,
-        encoding=encoding,
-        quote=QUOTE,
-        escape=QUOTE,
-        multiLine=multi_line,
-        enforceSchema=False,
-        mode="FAILFAST",
-    )
+def _quote_marks(text: Column) -> Column:
+    return F.char_length(text) - F.char_length(F.translate(text, QUOTE, ""))
+
+
+def _files(spark: SparkSession, paths: list[str]) -> list[str]:
+    listing = spark.read.format("binaryFile").load(paths).select("path")
+    return [row[0] for row in listing.collect()]

@@ -1,10 +1,13 @@
+import csv
+import random
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from publicspend.operators import register
 from publicspend.sources import layers
-from publicspend.sources.csv_files import files_with_open_quotes, read_text_table
+from publicspend.sources.csv_files import files_with_open_quotes, join_lines, read_text_table
 
 HEADER = ";".join(f'"{c}"' for c in register.PROJECT_COLUMNS)
 
@@ -40,6 +43,44 @@ def test_shards(spark, shards, tmp_path):
     assert rows["D"].descrizione_intervento == "é" and rows["D"].cup_master is None
 
 
+def test_records_across_parts(spark, tmp_path):
+    """Fields of every length over lines, in a file cut into many small parts."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        words = [rng.choice(["a;b", "\n", '"', "x" * rng.randrange(60), "\r\n", ""]) for _ in range(6)]
+        rows.append((str(i), "".join(words), "z" if i % 3 else "", "é\n" * rng.randrange(9)))
+    path = tmp_path / "a.csv"
+    with path.open("w", encoding="utf-8", newline="") as f:
+        writer = csv.writer(f, delimiter=";", lineterminator="\r\n")
+        writer.writerows([("id", "text", "c", "d"), *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert join_lines(spark, [str(path)], ";", "UTF-8").count() == 401
+        found = {r.id: tuple(r) for r in read_text_table(spark, str(path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {r[0]: tuple(v or None for v in r) for r in rows}
+    whole = {r.id: tuple(r) for r in read_text_table(spark, str(path), whole_files=True).collect()}
+    assert whole.keys() == found.keys()
+
+
+def test_stray_quote_stops_the_read(spark, tmp_path):
+    lines = [line("A", "1", 'pipe 5" wide'), line("B", "1", "x"), line("C", "1", 'pipe 7" wide')]
+    path = write(tmp_path / "a.csv", *lines)
+    with pytest.raises((PySparkException, Py4JJavaError), match="quote mark inside"):
+        read_text_table(spark, path).collect()
+    assert read_text_table(spark, path, whole_files=True).count() == 3
+
+
+def test_ragged_record_over_lines_stops_the_read(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'A;1;"2\n3"')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_text_table(spark, path).collect()
+
+
 def test_ragged_row_stops_the_read(spark, tmp_path):
     path = write(tmp_path / "a.csv", "A;1;2")
     with pytest.raises((PySparkException, Py4JJavaError)):
