@@ -100,17 +100,24 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def layer_years(spark: SparkSession, folder: str) -> DataFrame:
-    """Each decision year written to its own clean table, then queried together."""
+    """The register stored by decision year, its years read back together and queried."""
     root = _scratch(spark, "layer_years")
-    projects = layers.write_table(Proxy(spark, folder).projects(), f"{root}/all")
-    years = [int(r[0]) for r in projects.select("anno_decisione").distinct().collect()]
-    for year in years:
-        one = projects.where(F.col("anno_decisione") == str(year))
-        layers.write_table(one, layers.clean_path(root, "progetti", year), lookup="cup")
+    projects = Proxy(spark, folder).projects().withColumn("year", F.col("anno_decisione"))
+    projects.write.mode("overwrite").partitionBy("year").parquet(root)
+    years = [row[0] for row in spark.read.parquet(root).select("year").distinct().collect()]
     sql = """
         SELECT anno_decisione, count(*) AS n_cup, sum(costo_progetto) AS costo
         FROM clean_input GROUP BY anno_decisione"""
-    return _rounded(layers.query_clean(spark, root, "progetti", sql, years), "costo")
+    stored = layers.read_years(spark, f"{root}/year={{year}}", years)
+    return _rounded(layers.query_tables(spark, sql, clean_input=stored), "costo")
+
+
+def report_funding_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """The funding mart as the report reads it, from the mart layer."""
+    root, name, year = _scratch(spark, "report_funding_detail"), "registro_ampio", 2026
+    mart = marts.funding_mart(Proxy(spark, folder).wide())
+    layers.write_table(mart, layers.mart_path(root, name, year, "mart_fonti"))
+    return layers.load_mart(spark, root, name, "mart_fonti", year)
 
 
 def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,6 +254,7 @@ def queries() -> dict[str, Query]:
         # layers, ad-hoc SQL, quality
         "adhoc_sql": adhoc_sql,
         "layer_years": layer_years,
+        "report_funding_detail": report_funding_detail,
         "csv_ingest": csv_ingest,
         "quality_metrics": quality_metrics,
     }

@@ -270,7 +270,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT %s, {rnd("sum(pnrr_fin_pnrr)", 2)} AS pnrr_fin, {cost_sum},
             {rnd("100 * sum(pnrr_fin_pnrr) / sum(costo_progetto)", 4)} AS pct_pnrr
         FROM wide GROUP BY 1"""
-    return {
+    texts = {
         "register_flags": text(f"SELECT {project_columns} FROM projects", ["projects"]),
         "italian_amount_cast": f"""
             SELECT l_orderkey, l_linenumber, l_shipdate, {rnd("l_extendedprice", 2)} AS comma_value,
@@ -511,3 +511,4 @@ def oracle_sql() -> dict[str, str]:
                 if(floor, observed >= expected, observed <= expected) AS passed
             FROM seen"""),
     }
+    return texts | {"report_funding_detail": texts["funding_mart"]}

@@ -75,6 +75,17 @@ TERRITORY_MART = Contract(min_rows=100)
 FUNDING_MART = Contract(min_rows=10)
 COST_MART = Contract(min_rows=10)
 
+REQUIRED_TABLES = (
+    "mart_progetti",
+    "mart_registro",
+    "mart_opere",
+    "mart_soggetti",
+    "mart_localizzazione",
+    "mart_fonti_per_progetto",
+    "mart_territorio",
+    "mart_fonti",
+    "mart_costi",
+)
 
 # By table name, as the pipeline looks them up.
 CONTRACTS = {

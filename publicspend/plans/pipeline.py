@@ -14,8 +14,9 @@ from publicspend.operators.joins import hot_keys
 from publicspend.operators.quality import Contract
 from publicspend.plans import marts
 from publicspend.plans.compose import Support, register_with_support, wide_register
-from publicspend.plans.contracts import CONTRACTS
+from publicspend.plans.contracts import CONTRACTS, REQUIRED_TABLES
 from publicspend.rules import Rules
+from publicspend.session import size_shuffles
 from publicspend.sources.csv_files import read_text_table
 from publicspend.sources.layers import clean_path, mart_path, raw_path, read_years, write_table
 
@@ -65,6 +66,9 @@ class Refresh:
         missing = quality.missing_tables(list(inputs.external), list(EXTERNAL))
         if missing:
             raise quality.QualityError(f"external tables missing: {', '.join(missing)}")
+        files = [inputs.projects, inputs.locations, inputs.funding, inputs.holders, inputs.works]
+        tables = [template.format(year=self.year) for template in inputs.external.values()]
+        size_shuffles(self.spark, sum(files, tables))
         locations = self._clean(
             "localizzazione", register.clean_locations(self._raw("localizzazione", inputs.locations))
         )
@@ -106,7 +110,11 @@ class Refresh:
             },
         )
         out["registro_ampio"] = self._wide(out["mart_progetti"], support, hot)
-        return out | self._wide_marts(out["registro_ampio"])
+        out |= self._wide_marts(out["registro_ampio"])
+        missing = quality.missing_tables(list(out), list(REQUIRED_TABLES))
+        if missing:
+            raise quality.QualityError(f"tables missing: {', '.join(missing)}")
+        return out
 
     def _raw(self, name: str, files: list[str]) -> DataFrame:
         """The text files as one Parquet table, every column a string."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,6 +24,28 @@ def session(app: str, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, paths: list[str], growth: float = 4.0) -> int:
+    """Set the number of shuffle partitions from the size of the input files.
+
+    Adaptive execution merges small partitions but does not cut even ones, so the number
+    has to suit the largest input. ``growth`` is how much files swell when unpacked.
+    """
+    size = sum(_file_bytes(spark, path) for path in paths)
+    target = 128 * 1024 * 1024
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size * growth / target)
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
+def _file_bytes(spark: SparkSession, path: str) -> int:
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(pattern) or []
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in found)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach, as the cluster names it; a temporary one in local runs."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -6,7 +6,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from publicspend.operators import register
-from publicspend.sources import layers
+from publicspend.session import size_shuffles
+from publicspend.sources import csv_files, layers
 from publicspend.sources.csv_files import files_with_open_quotes, join_lines, read_text_table
 
 HEADER = ";".join(f'"{c}"' for c in register.PROJECT_COLUMNS)
@@ -26,7 +27,7 @@ def write(path, *lines, bom=False):
 @pytest.fixture
 def shards(tmp_path):
     plain = write(tmp_path / "a.csv", line("A", "1234,56", "plain; no"[:5]), line("B", "x", '"a;""b"""'), bom=True)
-    broken = write(tmp_path / "b.csv", line("C", "7", '"first\nsecond; ""third""\n"'), line("D", "", "é"))
+    broken = write(tmp_path / "b.csv", line("C", "7", '"first\nsecond; ""third""\n"'), line("D", "", "é"), bom=True)
     return plain, broken
 
 
@@ -75,6 +76,19 @@ def test_stray_quote_stops_the_read(spark, tmp_path):
     assert read_text_table(spark, path, whole_files=True).count() == 3
 
 
+def test_field_never_closed_stops_the_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "LONGEST_FIELD", 100)
+    path = write(tmp_path / "a.csv", line("A", "1", '"open'), *[line("B", "1", "x")] * 200)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        with pytest.raises((PySparkException, Py4JJavaError), match="never closed"):
+            read_text_table(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_ragged_record_over_lines_stops_the_read(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'A;1;"2\n3"')
     with pytest.raises((PySparkException, Py4JJavaError)):
@@ -118,3 +132,14 @@ def test_mart_and_snapshot(spark, tmp_path):
     assert layers.latest_snapshot(spark, str(tmp_path / "snap")).endswith("/2026-02-01")
     with pytest.raises(FileNotFoundError):
         layers.latest_snapshot(spark, str(tmp_path / "snap" / "2026-01-31"))
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    (tmp_path / "a").write_bytes(b"x" * 1000)
+    try:
+        assert size_shuffles(spark, [str(tmp_path)]) == int(before)
+        assert size_shuffles(spark, [f"{tmp_path}/*"], growth=2.0**27 / 100) == 10
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
