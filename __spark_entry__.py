@@ -201,10 +201,7 @@ def queries() -> dict[str, Query]:
         ),
         # composed register
         "wide_register": _from_proxy(lambda p: p.wide(), oracle_texts.WIDE_MONEY),
-        "register_with_support": _from_proxy(
-            lambda p: compose.register_with_support(p.projects(), p.locations(), p.funding(), rules),
-            amounts,
-        ),
+        "register_with_support": _from_proxy(lambda p: p.register_with_support(), amounts),
         # marts
         "territory_mart": _over_wide(marts.territory_mart),
         "funding_mart": _over_wide(marts.funding_mart),

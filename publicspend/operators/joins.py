@@ -13,12 +13,19 @@ HOT_SHARE = 0.001
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys (NULL included) that hold more than ``share`` of the rows.
 
-    At most ``1 / share`` keys can do so, which bounds what reaches the driver. The
-    count is combined map-side, so the hot keys themselves do no harm here.
+    At most ``1 / share`` keys can do so, which bounds what reaches the driver. They are
+    counted with a sketch, in one pass over one column and without shuffling the keys; its
+    error is far below ``share``, and a key more or less changes the plan, not the result.
     """
-    total = df.count()
-    counts = df.groupBy(key).count().where(F.col("count") > F.greatest(F.lit(total * share), F.lit(1)))
-    return [row[0] for row in counts.select(key).collect()]
+    most = int(1 / share)
+    found = df.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+        F.expr(f"approx_top_k(`{key}`, {most}, {10 * most})").alias("top"),
+    ).first()
+    floor = max(found.rows * share, 1)
+    hot = [r["item"] for r in found.top if r["item"] is not None and r["count"] > floor]
+    return hot + [None] if found.nulls > floor else hot
 
 
 def left_join_all(
@@ -38,5 +45,7 @@ def left_join_all(
     if not hot:
         return chain(base, sides)
     is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(None in hot))
-    hot_sides = [F.broadcast(side.where(F.col(key).isin(hot))) for side in sides]
+    hot_sides = [side.where(F.col(key).isin(hot)) for side in sides]
+    if len(hot) <= 1 / HOT_SHARE:  # else leave the choice to Spark
+        hot_sides = [F.broadcast(side) for side in hot_sides]
     return chain(base.where(~is_hot), sides).unionByName(chain(base.where(is_hot), hot_sides))
