@@ -161,6 +161,8 @@ def queries() -> dict[str, Query]:
         "location_clean": _from_proxy(lambda p: p.locations()),
         "holder_register": _from_proxy(lambda p: register.clean_holders(p.holders_raw())),
         "funding_clean": _from_proxy(lambda p: p.funding()),
+        "location_mart": _from_proxy(lambda p: register.location_mart(p.locations())),
+        "funding_source_mart": _from_proxy(lambda p: register.funding_source_mart(p.funding())),
         "strategic_status": _from_proxy(
             lambda p: p.works(),
             "costi_mln_euro disponibilita_mln_euro fabbisogno_mln_euro gap_finanziario_mln_euro",
@@ -213,6 +215,7 @@ def queries() -> dict[str, Query]:
         "report_sectors": _over_wide(reports.top_sectors, "costo"),
         "report_funding_totals": _over_wide(reports.funding_totals),
         "report_region_cost": _over_wide(reports.cost_by_region, "costo"),
+        "report_region_top15": _over_wide(partial(reports.cost_by_region, limit=15), "costo"),
         "report_region_names": _over_wide(reports.region_names),
         "report_region_kpi": _over_wide(partial(reports.region_overview, region="EUROPE"), "costo"),
         "report_region_sectors": _over_wide(

@@ -293,6 +293,12 @@ def oracle_sql() -> dict[str, str]:
         "funding_clean": """
             SELECT l_orderkey::VARCHAR AS cup, ascii(l_returnflag)::VARCHAR AS codice_copertura,
                 l_returnflag || l_linestatus AS copertura_finanziaria FROM lineitem""",
+        "location_mart": text(
+            "SELECT cup, regione, provincia, comune, codice_comune FROM locations", ["locations"]
+        ),
+        "funding_source_mart": """
+            SELECT l_orderkey::VARCHAR AS cup, l_returnflag || l_linestatus
+                AS copertura_finanziaria FROM lineitem""",
         "location_first": text("SELECT * FROM place", ["locations", "place"]),
         "recovery_top_row": text(
             "SELECT * REPLACE (" + rounded("pnrr_fin_pnrr pnrr_fin_totale") + ") FROM plan_top",
@@ -416,6 +422,9 @@ def oracle_sql() -> dict[str, str]:
         "report_region_cost": over_wide(f"""
             SELECT regione, count(*) AS n_cup, {cost_sum}, {count_if(lab)} AS con_lab
             FROM wide GROUP BY regione"""),
+        "report_region_top15": over_wide(f"""
+            SELECT regione, count(*) AS n_cup, {cost_sum}, {count_if(lab)} AS con_lab
+            FROM wide GROUP BY regione ORDER BY sum(costo_progetto) DESC LIMIT 15"""),
         "report_region_names": text(
             "SELECT DISTINCT regione FROM projects LEFT JOIN place USING (cup)",
             ["projects", "locations", "place"],

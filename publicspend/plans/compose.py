@@ -75,10 +75,17 @@ def procurement_of(support: Support, rules: Rules = Rules()) -> DataFrame:
 def wide_register(
     projects: DataFrame, support: Support, rules: Rules = Rules(), hot: list | None = None
 ) -> DataFrame:
-    """Enrich every register row; ``hot`` names project codes repeated very often in it."""
-    sides = [
-        rollups.preferred_location(support.locations, rules).drop("codice_comune"),
-        rollups.funding_flags(support.funding, rules),
+    """Enrich every register row; ``hot`` names project codes repeated very often in it.
+
+    A register that already carries place and funding flags, as ``register_with_support``
+    gives them, keeps its own instead of having them worked out again.
+    """
+    sides = []
+    if "regione" not in projects.columns:
+        sides.append(rollups.preferred_location(support.locations, rules).drop("codice_comune"))
+    if "n_fonti" not in projects.columns:
+        sides.append(rollups.funding_flags(support.funding, rules))
+    sides += [
         rollups.recovery_project(support.recovery_projects),
         rollups.recovery_tenders(support.recovery_tenders),
         rollups.recovery_payments(support.recovery_payments),

@@ -109,7 +109,7 @@ class Refresh:
                 for name in EXTERNAL
             },
         )
-        out["registro_ampio"] = self._wide(out["mart_progetti"], support, hot)
+        out["registro_ampio"] = self._wide(out["mart_registro"], support, hot)
         out |= self._wide_marts(out["registro_ampio"])
         missing = quality.missing_tables(list(out), list(REQUIRED_TABLES))
         if missing:

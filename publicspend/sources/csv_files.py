@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import csv
-import io
 import re
 from functools import reduce
 
@@ -41,7 +40,8 @@ def read_text_table(
     tables = [reader.csv(intact)] if intact else []
     if broken:
         records = join_lines(spark, sorted(broken), sep, encoding)
-        tables.append(_parse_records(records, options))
+        header = _first_line(spark, min(broken), encoding)
+        tables.append(_parse_records(records, header, options))
     return reduce(DataFrame.unionByName, tables)
 
 
@@ -143,14 +143,21 @@ def _well_formed(records: DataFrame, sep: str) -> DataFrame:
     )
 
 
-def _parse_records(records: DataFrame, options: dict[str, str]) -> DataFrame:
-    headers = [r[0] for r in records.where("record = 1").select("text").distinct().collect()]
-    if len(headers) != 1:
-        raise ValueError(f"files differ in their header: {headers}")
-    names = next(csv.reader(io.StringIO(headers[0]), delimiter=options["sep"]))
+def _first_line(spark: SparkSession, file: str, encoding: str) -> str:
+    line = spark.read.options(lineSep="\n", encoding=encoding).text(file).first()
+    return line.value.rstrip("\r")
+
+
+def _parse_records(records: DataFrame, header: str, options: dict[str, str]) -> DataFrame:
+    """Columns from the records; the first one of every file must be the header."""
+    names = next(csv.reader([header], delimiter=options["sep"]))
     schema = ", ".join(f"`{name}` string" for name in names)
+    error = F.concat(F.lit("the header differs in "), "file")
+    is_data = F.when(F.col("record") > 1, True).otherwise(
+        F.when(F.col("text") == header, False).otherwise(F.raise_error(error).cast("boolean"))
+    )
     parsed = F.from_csv("text", schema, options)
-    return records.where("record > 1").select(parsed.alias("row")).select("row.*")
+    return records.where(is_data).select(parsed.alias("row")).select("row.*")
 
 
 def _quote_marks(text: Column) -> Column:

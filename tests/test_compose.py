@@ -151,6 +151,16 @@ def test_register_with_support(spark, tiny):
     assert full.count() == proxy.projects().count()
 
 
+def test_register_with_support_saves_two_sides(spark, tiny):
+    proxy = Proxy(spark, tiny)
+    short = wide_register(proxy.register_with_support(), proxy.support(), PROXY_RULES)
+    full = proxy.wide()
+    same = [c for c, t in full.dtypes if t != "double"]
+    assert short.columns == full.columns
+    assert short.select(same).exceptAll(full.select(same)).count() == 0
+    assert short.count() == full.count()
+
+
 def test_unused_sides_are_not_joined(spark, tiny):
     slim = Proxy(spark, tiny).wide().groupBy("stato_progetto").agg(F.sum("costo_progetto"))
     plan = slim._jdf.queryExecution().executedPlan().toString()

@@ -108,6 +108,14 @@ def test_other_header_stops_the_read(spark, tmp_path):
         read_text_table(spark, [one, str(tmp_path / "b.csv")]).collect()
 
 
+def test_other_header_among_records_over_lines(spark, tmp_path):
+    one = write(tmp_path / "a.csv", line("A", "1", '"x\ny"'))
+    other = tmp_path / "b.csv"
+    other.write_text(HEADER.replace("CUP_MASTER", "ALTRO") + "\n" + line("B", "1", '"x\ny"') + "\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="header differs"):
+        read_text_table(spark, [one, str(other)]).collect()
+
+
 def test_layer_paths_and_years(spark, tmp_path):
     root = str(tmp_path)
     assert layers.clean_path("r", "n", 2026) == "r/data/clean/n/2026/n_2026_clean.parquet"
