@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001
@@ -44,8 +44,17 @@ def left_join_all(
 
     if not hot:
         return chain(base, sides)
-    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(None in hot))
-    hot_sides = [side.where(F.col(key).isin(hot)) for side in sides]
+    hot_row = is_hot(F.col(key), hot)
+    # a plain list test, which reaches the scans of the sides
+    listed = F.col(key).isin([k for k in hot if k is not None])
+    hot_sides = [side.where(listed) for side in sides]
     if len(hot) <= 1 / HOT_SHARE:  # else leave the choice to Spark
         hot_sides = [F.broadcast(side) for side in hot_sides]
-    return chain(base.where(~is_hot), sides).unionByName(chain(base.where(is_hot), hot_sides))
+    return chain(base.where(~hot_row), sides).unionByName(chain(base.where(hot_row), hot_sides))
+
+
+def is_hot(key: Column, hot: list) -> Column:
+    """Whether the key is in the list; never NULL, so that it splits a table in two."""
+    known = [k for k in hot if k is not None]
+    listed = F.coalesce(key.isin(known), F.lit(False)) if known else F.lit(False)
+    return listed | key.isNull() if None in hot else listed

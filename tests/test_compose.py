@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from publicspend.operators import rollups
-from publicspend.operators.joins import hot_keys, left_join_all
+from publicspend.operators.joins import hot_keys, is_hot, left_join_all
 from publicspend.plans.compose import area_of, register_with_support, wide_register
 from publicspend.rules import CENTRE, NORTH
 from publicspend.sources.proxy import PROXY_RULES, Proxy
@@ -114,6 +114,25 @@ def test_hot_keys_are_bounded_and_include_null(spark):
     assert hot_keys(unique, "cup") == []
 
 
+def test_many_hot_keys_among_many_others(spark):
+    """100 keys of 0.5 % each and 50,000 others, far more keys than the sketch tracks."""
+    i = F.col("id")
+    keys = F.when(i % 2 == 0, F.concat(F.lit("h"), i / 2 % 100)).otherwise(F.concat(F.lit("k"), i))
+    found = hot_keys(spark.range(100_000).select(keys.alias("cup")), "cup")
+    assert set(found) == {f"h{float(n)}" for n in range(100)}
+
+
+def test_is_hot_splits_in_two(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+
+    def picked(hot):
+        return [r.h for r in df.select(is_hot(F.col("k"), hot).alias("h")).collect()]
+
+    assert picked(["a"]) == [True, False, False]
+    assert picked([None]) == [False, False, True]
+    assert picked(["a", None]) == [True, False, True]
+
+
 def test_split_join_equals_plain_join(spark):
     base = spark.createDataFrame(
         [(None, 0)] * 30 + [("H", i) for i in range(30)] + [(f"k{i}", i) for i in range(30)],
