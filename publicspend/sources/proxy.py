@@ -90,15 +90,13 @@ class Proxy:
         return register.project_mart(register.clean_projects(self.projects_raw()), PROXY_RULES)
 
     def locations_raw(self) -> DataFrame:
-        suppliers = (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        )
         at_home = F.col("n_nationkey") < 12
+        # one plain table after the other: Spark knows their sizes and broadcasts the small ones
         return (
             self.table("lineitem")
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
                 F.col("l_orderkey").cast("string").alias("CUP"),
                 F.when(at_home, "1").otherwise("2").alias("CODICE_STATO"),
