@@ -18,7 +18,15 @@ from publicspend.plans.contracts import CONTRACTS, REQUIRED_TABLES
 from publicspend.rules import Rules
 from publicspend.session import size_shuffles
 from publicspend.sources.csv_files import read_text_table
-from publicspend.sources.layers import clean_path, mart_path, raw_path, read_years, write_table
+from publicspend.sources.layers import (
+    clean_path,
+    latest_snapshot,
+    mart_path,
+    raw_path,
+    read_years,
+    row_count,
+    write_table,
+)
 
 EXTERNAL = (
     "recovery_projects",
@@ -44,9 +52,19 @@ class Inputs:
     works: list[str]
     external: dict[str, str]
 
+    @classmethod
+    def latest(cls, spark: SparkSession, base: str, external: dict[str, str]) -> Inputs:
+        """The newest dated directory below ``<base>/<table>`` for each text table."""
+        tables = ("projects", "locations", "funding", "holders", "works")
+        return cls(
+            **{table: [latest_snapshot(spark, f"{base}/{table}")] for table in tables},
+            external=external,
+        )
+
 
 class Refresh:
-    """One run for one year. Table names are the keys of ``contracts``."""
+    """One run for one year. Table names are the keys of ``contracts``; ``rows`` holds the
+    row count of every table written."""
 
     def __init__(
         self,
@@ -61,6 +79,7 @@ class Refresh:
         self.year = year
         self.rules = rules
         self.contracts = contracts
+        self.rows: dict[str, int] = {}
 
     def run(self, inputs: Inputs, works_year: int) -> dict[str, DataFrame]:
         missing = quality.missing_tables(list(inputs.external), list(EXTERNAL))
@@ -129,6 +148,7 @@ class Refresh:
 
     def _write(self, table: str, df: DataFrame, path: str, lookup: str | None = None) -> DataFrame:
         written = write_table(df, path, lookup)
+        self.rows[table] = row_count(self.spark, path)
         quality.enforce(quality.check(written, self.contracts[table]))
         return written
 

@@ -12,8 +12,7 @@ YEAR = 2026
 
 
 def as_text(df, path):
-    df.write.mode("overwrite").options(header=True, sep=";", escape='"', emptyValue="").csv(path)
-    return [path]
+    df.write.options(header=True, sep=";", escape='"', emptyValue="").csv(path)
 
 
 @pytest.fixture(scope="module")
@@ -23,14 +22,10 @@ def inputs(spark, tiny, tmp_path_factory):
     external = {name: f"{base}/{name}/{{year}}.parquet" for name in EXTERNAL}
     for name, template in external.items():
         getattr(proxy, name)().write.parquet(template.format(year=YEAR))
-    return Inputs(
-        projects=as_text(proxy.projects_raw(), f"{base}/projects"),
-        locations=as_text(proxy.locations_raw(), f"{base}/locations"),
-        funding=as_text(proxy.funding_raw(), f"{base}/funding"),
-        holders=as_text(proxy.holders_raw(), f"{base}/holders"),
-        works=as_text(proxy.works_raw(), f"{base}/works"),
-        external=external,
-    )
+    for name in ("projects", "locations", "funding", "holders", "works"):
+        as_text(getattr(proxy, f"{name}_raw")(), f"{base}/{name}/2026-02-01")
+    as_text(proxy.projects_raw().limit(1), f"{base}/projects/2026-01-31")
+    return Inputs.latest(spark, base, external)
 
 
 def small(contracts):
@@ -51,6 +46,7 @@ def test_refresh(spark, tiny, inputs, tmp_path):
             "mart_opere", "mart_soggetti"} <= set(out)
     wide = layers.load_clean(spark, root, "registro_ampio", [YEAR])
     expected = Proxy(spark, tiny).wide()
+    assert refresh.rows["registro_ampio"] == refresh.rows["progetti"] == expected.count()
     assert wide.columns == expected.columns and wide.count() == expected.count()
     exact = [c for c, t in wide.dtypes if t != "double"]
     assert wide.select(exact).exceptAll(expected.select(exact)).count() == 0
