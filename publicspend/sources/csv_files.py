@@ -35,18 +35,20 @@ def read_text_table(
     reader = spark.read.options(header=True, enforceSchema=False, **options)
     if whole_files:
         return reader.option("multiLine", True).csv(paths)
-    broken = files_with_open_quotes(spark, paths)
-    intact = [f for f in _files(spark, paths) if f not in broken]
+    with_open_quotes = files_with_open_quotes(spark, paths)
+    broken, intact = [], []
+    for file, location in sorted(_files(spark, paths).items()):
+        (broken if location in with_open_quotes else intact).append(file)
     tables = [reader.csv(intact)] if intact else []
     if broken:
-        records = join_lines(spark, sorted(broken), sep, encoding)
-        header = _first_line(spark, min(broken), encoding)
+        records = join_lines(spark, broken, sep, encoding)
+        header = _first_line(spark, broken[0], encoding)
         tables.append(_parse_records(records, header, options))
     return reduce(DataFrame.unionByName, tables)
 
 
 def files_with_open_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files in which some line ends inside a quoted field.
+    """Locations of the files in which some line ends inside a quoted field.
 
     The first such line of a file starts outside quotes and so holds an odd number of
     quote marks; a file without odd lines has none.
@@ -164,6 +166,7 @@ def _quote_marks(text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, QUOTE, ""))
 
 
-def _files(spark: SparkSession, paths: list[str]) -> list[str]:
-    listing = spark.read.format("binaryFile").load(paths).select("path")
-    return [row[0] for row in listing.collect()]
+def _files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Each file with its location, which has blanks and the like written as ``%20``."""
+    listing = spark.read.format("binaryFile").load(paths).select("path", "_metadata.file_path")
+    return {row["path"]: row["file_path"] for row in listing.collect()}

@@ -44,6 +44,13 @@ def test_shards(spark, shards, tmp_path):
     assert rows["D"].descrizione_intervento == "é" and rows["D"].cup_master is None
 
 
+def test_blank_in_a_file_name(spark, tmp_path):
+    write(tmp_path / "a shard è.csv", line("A", "1", '"x\ny"'))
+    write(tmp_path / "b shard.csv", line("B", "1", "x"))
+    rows = read_text_table(spark, str(tmp_path)).select("CUP").collect()
+    assert sorted(r.CUP for r in rows) == ["A", "B"]
+
+
 def test_records_across_parts(spark, tmp_path):
     """Fields of every length over lines, in a file cut into many small parts."""
     rng = random.Random(3)
