@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_texts  # noqa: E402
 from publicspend.functions.measures import stable_round  # noqa: E402
 from publicspend.functions.text import comma_decimal, italian_number, lenient_int  # noqa: E402
-from publicspend.operators import procurement, quality, register, rollups  # noqa: E402
+from publicspend.operators import procurement, quality, register, rollups, strategic  # noqa: E402
 from publicspend.operators.quality import Contract  # noqa: E402
 from publicspend.plans import compose, marts, reports  # noqa: E402
 from publicspend.session import shared_folder  # noqa: E402
@@ -24,6 +24,7 @@ from publicspend.sources import layers  # noqa: E402
 from publicspend.sources.csv_files import read_text_table  # noqa: E402
 from publicspend.sources.proxy import (  # noqa: E402
     PROXY_RULES,
+    WORKS_YEAR,
     Proxy,
     comma_text,
     italian_text,
@@ -74,6 +75,20 @@ def italian_amount_cast(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(parsed, "comma_value thousands_value italian_value")
 
 
+def _as_text(df: DataFrame, path: str) -> str:
+    df.write.mode("overwrite").options(
+        header=True, sep=";", escape='"', quoteAll=True, emptyValue="", nullValue=""
+    ).csv(path)
+    return path
+
+
+def works_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """The strategic-works report as delimited text, read back, typed and classified."""
+    raw = Proxy(spark, folder).works_raw()
+    stored = read_text_table(spark, _as_text(raw, _scratch(spark, "works_ingest")))
+    return strategic.works_mart(strategic.clean_works(stored, WORKS_YEAR))
+
+
 def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Register shards as delimited text, with quotes and line breaks inside fields."""
     raw = (
@@ -87,10 +102,8 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     shards = _scratch(spark, "csv_ingest")
-    raw.write.mode("overwrite").options(
-        header=True, sep=";", escape='"', quoteAll=True, emptyValue="", nullValue=""
-    ).csv(f"{shards}/raw")
-    stored = layers.write_table(read_text_table(spark, f"{shards}/raw"), f"{shards}/parquet")
+    text = _as_text(raw, f"{shards}/raw")
+    stored = layers.write_table(read_text_table(spark, text), f"{shards}/parquet")
     projects = register.project_mart(register.clean_projects(stored), PROXY_RULES)
     columns = "cup anno_decisione costo_progetto finanziamento_progetto descrizione_intervento"
     return _rounded(
@@ -146,6 +159,9 @@ def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     rules = PROXY_RULES
     amounts = "costo_progetto finanziamento_progetto"
+    works_money = (
+        "costi_mln_euro disponibilita_mln_euro fabbisogno_mln_euro gap_finanziario_mln_euro"
+    )
     works_top = "silos_costi_mln silos_disponibilita_mln silos_gap_mln"
 
     def tenders(p: Proxy) -> DataFrame:
@@ -163,10 +179,7 @@ def queries() -> dict[str, Query]:
         "funding_clean": _from_proxy(lambda p: p.funding()),
         "location_mart": _from_proxy(lambda p: register.location_mart(p.locations())),
         "funding_source_mart": _from_proxy(lambda p: register.funding_source_mart(p.funding())),
-        "strategic_status": _from_proxy(
-            lambda p: p.works(),
-            "costi_mln_euro disponibilita_mln_euro fabbisogno_mln_euro gap_finanziario_mln_euro",
-        ),
+        "strategic_status": _from_proxy(lambda p: p.works(), works_money),
         # one row per key
         "location_first": _from_proxy(lambda p: rollups.preferred_location(p.locations(), rules)),
         "recovery_top_row": _from_proxy(
@@ -256,6 +269,7 @@ def queries() -> dict[str, Query]:
         "layer_years": layer_years,
         "report_funding_detail": report_funding_detail,
         "csv_ingest": csv_ingest,
+        "works_ingest": lambda spark, folder: _rounded(works_ingest(spark, folder), works_money),
         "quality_metrics": quality_metrics,
     }
 

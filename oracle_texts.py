@@ -520,4 +520,7 @@ def oracle_sql() -> dict[str, str]:
                 if(floor, observed >= expected, observed <= expected) AS passed
             FROM seen"""),
     }
-    return texts | {"report_funding_detail": texts["funding_mart"]}
+    return texts | {
+        "report_funding_detail": texts["funding_mart"],
+        "works_ingest": texts["strategic_status"],
+    }

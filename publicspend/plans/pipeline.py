@@ -86,8 +86,8 @@ class Refresh:
         if missing:
             raise quality.QualityError(f"external tables missing: {', '.join(missing)}")
         files = [inputs.projects, inputs.locations, inputs.funding, inputs.holders, inputs.works]
-        tables = [template.format(year=self.year) for template in inputs.external.values()]
-        size_shuffles(self.spark, sum(files, tables))
+        external = [[path.format(year=self.year)] for path in inputs.external.values()]
+        size_shuffles(self.spark, files + external)
         locations = self._clean(
             "localizzazione", register.clean_locations(self._raw("localizzazione", inputs.locations))
         )

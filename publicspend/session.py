@@ -7,11 +7,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 30_000
+MOST_READS = 100_000
 SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -24,18 +28,20 @@ def session(app: str, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, paths: list[str], growth: float = 4.0) -> int:
-    """Set the number of shuffle partitions from the size of the input files.
+def size_shuffles(spark: SparkSession, tables: list[list[str]], growth: float = 4.0) -> int:
+    """Set the width of scans and shuffles from the size of the largest table's files.
 
-    Adaptive execution merges small partitions but does not cut even ones, so the number
-    has to suit the largest input. ``growth`` is how much files swell when unpacked.
+    Adaptive execution merges small partitions but does not cut even ones, so the number has
+    to suit the largest input. It is limited, as each pair of a map and a reduce task makes a
+    block to keep track of: past the limit partitions grow and sort on disk. ``growth`` is how
+    much files swell when unpacked.
     """
-    size = sum(_file_bytes(spark, path) for path in paths)
-    target = 128 * 1024 * 1024
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size * growth / target)
-    )
+    size = max(sum(_file_bytes(spark, path) for path in paths) for paths in tables)
+    wanted = min(math.ceil(size * growth / PARTITION_BYTES), MOST_PARTITIONS)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if size > PARTITION_BYTES * MOST_READS:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(math.ceil(size / MOST_READS)))
     return partitions
 
 

@@ -6,6 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from publicspend.operators import register
+from publicspend import session as settings
 from publicspend.session import size_shuffles
 from publicspend.sources import csv_files, layers
 from publicspend.sources.csv_files import files_with_open_quotes, join_lines, read_text_table
@@ -149,12 +150,22 @@ def test_mart_and_snapshot(spark, tmp_path):
         layers.latest_snapshot(spark, str(tmp_path / "snap" / "2026-01-31"))
 
 
-def test_shuffles_follow_the_input(spark, tmp_path):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    (tmp_path / "a").write_bytes(b"x" * 1000)
+def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, size in (("a", 1000), ("b", 600)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    tables = [[f"{tmp_path}/a"], [f"{tmp_path}/b"], [f"{tmp_path}/none*"]]
     try:
-        assert size_shuffles(spark, [str(tmp_path)]) == int(before)
-        assert size_shuffles(spark, [f"{tmp_path}/*"], growth=2.0**27 / 100) == 10
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+        assert size_shuffles(spark, tables) == int(before[names[0]])
+        monkeypatch.setattr(settings, "PARTITION_BYTES", 100)
+        assert size_shuffles(spark, tables) == 40
+        monkeypatch.setattr(settings, "MOST_PARTITIONS", 50)
+        assert size_shuffles(spark, [[f"{tmp_path}/?"]], growth=99) == 50
+        assert spark.conf.get(names[1]) == before[names[1]]
+        monkeypatch.setattr(settings, "MOST_READS", 4)
+        size_shuffles(spark, tables)
+        assert spark.conf.get(names[1]) == "250"
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
