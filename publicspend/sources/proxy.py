@@ -91,12 +91,14 @@ class Proxy:
 
     def locations_raw(self) -> DataFrame:
         at_home = F.col("n_nationkey") < 12
-        # one plain table after the other: Spark knows their sizes and broadcasts the small ones
+        nations = self.table("nation").join(
+            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
+        )
+        # 25 nations whatever the scale; suppliers grow, so Spark checks their size
         return (
             self.table("lineitem")
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("l_orderkey").cast("string").alias("CUP"),
                 F.when(at_home, "1").otherwise("2").alias("CODICE_STATO"),
@@ -127,7 +129,7 @@ class Proxy:
 
     def holders_raw(self) -> DataFrame:
         customers = self.table("customer").join(
-            self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
+            F.broadcast(self.table("nation")), F.col("c_nationkey") == F.col("n_nationkey")
         )
         nation = F.col("n_nationkey").cast("string")
         return customers.select(
