@@ -2,6 +2,7 @@ import dataclasses
 
 import pytest
 
+import refresh
 from publicspend.operators.quality import Contract, QualityError
 from publicspend.plans.contracts import CONTRACTS
 from publicspend.plans.pipeline import EXTERNAL, Inputs, Refresh
@@ -40,13 +41,13 @@ def small(contracts):
 
 def test_refresh(spark, tiny, inputs, tmp_path):
     root = str(tmp_path)
-    refresh = Refresh(spark, root, YEAR, PROXY_RULES, small(CONTRACTS))
-    out = refresh.run(inputs, WORKS_YEAR)
+    job = Refresh(spark, root, YEAR, PROXY_RULES, small(CONTRACTS))
+    out = job.run(inputs, WORKS_YEAR)
     assert {"mart_registro", "registro_ampio", "mart_territorio", "mart_fonti", "mart_costi",
             "mart_opere", "mart_soggetti"} <= set(out)
     wide = layers.load_clean(spark, root, "registro_ampio", [YEAR])
     expected = Proxy(spark, tiny).wide()
-    assert refresh.rows["registro_ampio"] == refresh.rows["progetti"] == expected.count()
+    assert job.rows["registro_ampio"] == job.rows["progetti"] == expected.count()
     assert wide.columns == expected.columns and wide.count() == expected.count()
     exact = [c for c, t in wide.dtypes if t != "double"]
     assert wide.select(exact).exceptAll(expected.select(exact)).count() == 0
@@ -67,3 +68,11 @@ def test_missing_external_table(spark, inputs, tmp_path):
     partial = dataclasses.replace(inputs, external={})
     with pytest.raises(QualityError, match="awards"):
         Refresh(spark, str(tmp_path), YEAR).run(partial, WORKS_YEAR)
+
+
+def test_command_line_keeps_the_national_floors(inputs, tmp_path):
+    base = inputs.projects[0].rsplit("/", 2)[0]
+    external = [f"--external={name}={path}" for name, path in inputs.external.items()]
+    arguments = ["--root", str(tmp_path), "--snapshots", base, "--year", str(YEAR)]
+    with pytest.raises(QualityError, match="min_rows.*expected 10000000"):
+        refresh.main([*arguments, "--works-year", str(WORKS_YEAR), *external])
