@@ -18,9 +18,14 @@ def billions(total: Column) -> Column:
     return stable_round(total / F.lit(1e9), 3)
 
 
-def percent_of_rows(condition: Column) -> Column:
-    """Share of the group's rows that meet the condition, in percent with one digit."""
-    return stable_round(F.count_if(condition) * F.lit(100.0).cast("double") / F.count("*"), 1)
+def count_where(condition: str) -> Column:
+    """Rows of the group that meet an SQL condition; NULL does not."""
+    return F.count_if(F.expr(condition))
+
+
+def percent_where(condition: str) -> Column:
+    """Share of the group's rows that meet an SQL condition, in percent with one digit."""
+    return stable_round(count_where(condition) * F.lit(100.0) / F.count("*"), 1)
 
 
 def or_zero(value: Column) -> Column:

@@ -62,6 +62,13 @@ FALSE_IF_MISSING = frozenset(
     "ha_fonte_statale ha_fonte_ue ha_fonte_regionale ha_fonte_privata".split()
 )
 
+# Conditions on the wide register that marts and reports count by.
+WITH_TENDERS = "anac_n_cig > 0"
+WITH_RECOVERY = "pnrr_fin_pnrr > 0"
+WITH_COHESION = "coe_n_progetti > 0"
+WITH_ANY = "con_almeno_una_fonte_lab"
+WITH_WORKS = "silos_costi_mln IS NOT NULL"
+
 
 def procurement_of(support: Support, rules: Rules = Rules()) -> DataFrame:
     return procurement.procurement_rollup(

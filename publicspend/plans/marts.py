@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from publicspend.functions.measures import billions, null_safe_sum, percent_of_rows, stable_round
+from publicspend.functions.measures import (
+    billions,
+    count_where,
+    null_safe_sum,
+    percent_where,
+    stable_round,
+)
 from publicspend.operators.median import group_medians
+from publicspend.plans.compose import WITH_ANY, WITH_COHESION, WITH_RECOVERY, WITH_TENDERS
 from publicspend.rules import MIN_GROUP, UNKNOWN_REGION, UNKNOWN_SECTOR
 
-HAS_TENDERS, HAS_RECOVERY, HAS_COHESION = "anac_n_cig > 0", "pnrr_fin_pnrr > 0", "coe_n_progetti > 0"
-
-
-def _count(condition: str) -> Column:
-    return F.count_if(F.expr(condition))
-
-
-def _percent(condition: str) -> Column:
-    return percent_of_rows(F.expr(condition))
-
 
 def _known(name: str, label: str) -> Column:
     return F.coalesce(F.col(name), F.lit(label)).alias(name)
@@ -40,14 +37,14 @@ def territory_mart(wide: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         F.count("*").alias("n_cup"),
         billions(null_safe_sum(F.col("costo_progetto"))).alias("costo_mld"),
         billions(null_safe_sum(F.col("finanziamento_progetto"))).alias("finanziamento_mld"),
-        _count("con_almeno_una_fonte_lab").alias("n_con_fonte_lab"),
-        _percent("con_almeno_una_fonte_lab").alias("pct_con_fonte_lab"),
-        _count(HAS_TENDERS).alias("n_con_anac"),
-        _count(HAS_RECOVERY).alias("n_con_pnrr"),
-        _count(HAS_COHESION).alias("n_con_coesione"),
+        count_where(WITH_ANY).alias("n_con_fonte_lab"),
+        percent_where(WITH_ANY).alias("pct_con_fonte_lab"),
+        count_where(WITH_TENDERS).alias("n_con_anac"),
+        count_where(WITH_RECOVERY).alias("n_con_pnrr"),
+        count_where(WITH_COHESION).alias("n_con_coesione"),
         billions(F.sum("pnrr_fin_pnrr")).alias("pnrr_fin_mld"),
         billions(F.sum("anac_importo_aggiudicato")).alias("anac_importo_mld"),
-        _count("flag_ombrello").alias("n_ombrello"),
+        count_where("flag_ombrello").alias("n_ombrello"),
         F.max("anac_data_ultima_agg").alias("anac_data_ultima_agg"),
     )
     return _sorted_by(groups.where(F.col("n_cup") >= min_group), "costo_mld", keys)
@@ -60,17 +57,17 @@ def funding_mart(wide: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         "n_fonte_ue": "ha_fonte_ue",
         "n_fonte_regionale": "ha_fonte_regionale",
         "n_fonte_privata": "ha_fonte_privata",
-        "n_anac": HAS_TENDERS,
-        "n_pnrr": HAS_RECOVERY,
-        "n_coesione": HAS_COHESION,
-        "n_con_fonte_lab": "con_almeno_una_fonte_lab",
+        "n_anac": WITH_TENDERS,
+        "n_pnrr": WITH_RECOVERY,
+        "n_coesione": WITH_COHESION,
+        "n_con_fonte_lab": WITH_ANY,
     }
     shares = {
         "pct_statale": "ha_fonte_statale",
         "pct_ue": "ha_fonte_ue",
-        "pct_anac": HAS_TENDERS,
-        "pct_pnrr": HAS_RECOVERY,
-        "pct_con_fonte_lab": "con_almeno_una_fonte_lab",
+        "pct_anac": WITH_TENDERS,
+        "pct_pnrr": WITH_RECOVERY,
+        "pct_con_fonte_lab": WITH_ANY,
     }
     amounts = {
         "pnrr_fin_mld": "pnrr_fin_pnrr",
@@ -80,8 +77,8 @@ def funding_mart(wide: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     groups = wide.groupBy(_known("settore_intervento", UNKNOWN_SECTOR), "area").agg(
         F.count("*").alias("n_cup"),
         billions(null_safe_sum(F.col("costo_progetto"))).alias("costo_mld"),
-        *[_count(c).alias(name) for name, c in counts.items()],
-        *[_percent(c).alias(name) for name, c in shares.items()],
+        *[count_where(c).alias(name) for name, c in counts.items()],
+        *[percent_where(c).alias(name) for name, c in shares.items()],
         *[billions(F.sum(c)).alias(name) for name, c in amounts.items()],
     )
     return _sorted_by(

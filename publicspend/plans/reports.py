@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from publicspend.functions.measures import percent_of_rows
+from publicspend.functions.measures import count_where, percent_where
 from publicspend.functions.text import clipped
-
-WITH_TENDERS = "anac_n_cig > 0"
-WITH_RECOVERY = "pnrr_fin_pnrr > 0"
-WITH_COHESION = "coe_n_progetti > 0"
-WITH_ANY = "con_almeno_una_fonte_lab"
-WITH_WORKS = "silos_costi_mln IS NOT NULL"
-
-
-def _count(condition: str) -> Column:
-    return F.count_if(F.expr(condition))
+from publicspend.plans.compose import (
+    WITH_ANY,
+    WITH_COHESION,
+    WITH_RECOVERY,
+    WITH_TENDERS,
+    WITH_WORKS,
+)
 
 
 def _top(df: DataFrame, measure: str, ties: list[str], limit: int | None = None) -> DataFrame:
@@ -32,9 +29,9 @@ def overview(wide: DataFrame) -> DataFrame:
     return wide.agg(
         F.count("*").alias("n_cup"),
         F.sum("costo_progetto").alias("costo"),
-        _count(WITH_ANY).alias("con_lab"),
-        _count(WITH_TENDERS).alias("con_anac"),
-        _count(WITH_WORKS).alias("con_silos"),
+        count_where(WITH_ANY).alias("con_lab"),
+        count_where(WITH_TENDERS).alias("con_anac"),
+        count_where(WITH_WORKS).alias("con_silos"),
     )
 
 
@@ -42,8 +39,8 @@ def coverage_by_area(wide: DataFrame) -> DataFrame:
     groups = wide.groupBy("area").agg(
         F.count("*").alias("n_cup"),
         F.sum("costo_progetto").alias("costo"),
-        _count(WITH_ANY).alias("con_fonte"),
-        percent_of_rows(F.expr(WITH_ANY)).alias("pct"),
+        count_where(WITH_ANY).alias("con_fonte"),
+        percent_where(WITH_ANY).alias("pct"),
     )
     return _top(groups, "costo", ["area"])
 
@@ -57,8 +54,8 @@ def top_sectors(wide: DataFrame, limit: int = 10) -> DataFrame:
     groups = wide.groupBy("settore_intervento").agg(
         F.count("*").alias("n_cup"),
         F.sum("costo_progetto").alias("costo"),
-        _count(WITH_TENDERS).alias("con_anac"),
-        percent_of_rows(F.expr(WITH_TENDERS)).alias("pct_anac"),
+        count_where(WITH_TENDERS).alias("con_anac"),
+        percent_where(WITH_TENDERS).alias("pct_anac"),
     )
     return _top(groups, "costo", ["settore_intervento"], limit)
 
@@ -79,7 +76,7 @@ def cost_by_region(wide: DataFrame, limit: int | None = None) -> DataFrame:
     groups = wide.groupBy("regione").agg(
         F.count("*").alias("n_cup"),
         F.sum("costo_progetto").alias("costo"),
-        _count(WITH_ANY).alias("con_lab"),
+        count_where(WITH_ANY).alias("con_lab"),
     )
     return _top(groups, "costo", ["regione"], limit)
 
@@ -92,8 +89,8 @@ def region_overview(wide: DataFrame, region: str) -> DataFrame:
     return wide.where(F.col("regione") == F.lit(region)).agg(
         F.count("*").alias("n_cup"),
         F.sum("costo_progetto").alias("costo"),
-        _count(WITH_ANY).alias("con_lab"),
-        _count(WITH_TENDERS).alias("con_anac"),
+        count_where(WITH_ANY).alias("con_lab"),
+        count_where(WITH_TENDERS).alias("con_anac"),
     )
 
 
@@ -116,18 +113,18 @@ def top_regions(wide: DataFrame, limit: int = 5) -> DataFrame:
 
 def source_totals(wide: DataFrame) -> DataFrame:
     return wide.agg(
-        _count(WITH_TENDERS).alias("anac"),
-        _count(WITH_RECOVERY).alias("pnrr"),
-        _count(WITH_COHESION).alias("coesione"),
-        _count(WITH_ANY).alias("totale"),
+        count_where(WITH_TENDERS).alias("anac"),
+        count_where(WITH_RECOVERY).alias("pnrr"),
+        count_where(WITH_COHESION).alias("coesione"),
+        count_where(WITH_ANY).alias("totale"),
     )
 
 
 def sector_coverage(wide: DataFrame, limit: int = 10) -> DataFrame:
     groups = wide.groupBy("settore_intervento").agg(
         F.count("*").alias("n_cup"),
-        _count(WITH_TENDERS).alias("con_anac"),
-        percent_of_rows(F.expr(WITH_TENDERS)).alias("pct"),
+        count_where(WITH_TENDERS).alias("con_anac"),
+        percent_where(WITH_TENDERS).alias("pct"),
     )
     return _top(groups.where(F.col("con_anac") > 0), "pct", ["settore_intervento"], limit)
 
