@@ -34,12 +34,16 @@ class Contract:
 
 
 def check(df: DataFrame, contract: Contract, as_of: dt.date | None = None) -> DataFrame:
-    """One pass over ``df`` for counts and NULLs, one shuffle more for the primary key."""
+    """One pass over ``df`` for counts and NULLs, one shuffle more for the primary key.
+
+    A column that a rule names and the table lacks fails as a required one.
+    """
     present = set(df.columns)
-    missing = [c for c in contract.required_columns if c not in present]
+    used = (*contract.not_null, *contract.primary_key, *contract.max_age)
+    absent = [c for c in dict.fromkeys(used) if c not in present]
+    required = dict.fromkeys([*contract.required_columns, *absent])
     rules = [
-        _rule("required_column", c, F.lit(int(c not in missing)), 1, at_least=True)
-        for c in contract.required_columns
+        _rule("required_column", c, F.lit(int(c in present)), 1, at_least=True) for c in required
     ]
     rules += [
         _rule("not_null", c, F.count_if(F.col(c).isNull()), 0)
@@ -56,9 +60,10 @@ def check(df: DataFrame, contract: Contract, as_of: dt.date | None = None) -> Da
     rules += [
         _rule("max_age", c, F.date_diff(today, F.max(c)), days)
         for c, days in contract.max_age.items()
+        if c in present
     ]
     result = df.agg(_rules(rules)).select(F.inline("rules"))
-    if contract.primary_key:
+    if contract.primary_key and present.issuperset(contract.primary_key):
         result = result.unionAll(primary_key_check(df, contract.primary_key))
     return result
 

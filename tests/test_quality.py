@@ -53,6 +53,13 @@ def test_empty_table_has_no_fresh_date(spark, rows):
     assert found[("min_rows", "*")] == (0, 1, False)
 
 
+def test_absent_column_fails_whatever_rule_names_it(rows):
+    contract = Contract(not_null=("x", "k"), primary_key=("y",), max_age={"z": 1})
+    found = results(quality.check(rows, contract))
+    assert {c for (rule, c), (_, _, passed) in found.items() if not passed} == {"x", "y", "z", "k"}
+    assert set(found) == {("required_column", c) for c in "xyz"} | {("not_null", "k")}
+
+
 def test_contract_without_rules(rows):
     assert quality.check(rows, Contract()).count() == 0
 
