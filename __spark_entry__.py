@@ -19,7 +19,7 @@ from publicspend.functions.text import comma_decimal, italian_number, lenient_in
 from publicspend.operators import procurement, quality, register, rollups, strategic  # noqa: E402
 from publicspend.operators.quality import Contract  # noqa: E402
 from publicspend.plans import compose, marts, reports  # noqa: E402
-from publicspend.session import shared_folder  # noqa: E402
+from publicspend.session import PARTITION_BYTES, shared_folder  # noqa: E402
 from publicspend.sources import layers  # noqa: E402
 from publicspend.sources.csv_files import read_text_table  # noqa: E402
 from publicspend.sources.proxy import (  # noqa: E402
@@ -89,7 +89,9 @@ def works_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return strategic.works_mart(strategic.clean_works(stored, WORKS_YEAR))
 
 
-def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
+def csv_ingest(
+    spark: SparkSession, folder: str, whole_up_to: float = PARTITION_BYTES
+) -> DataFrame:
     """Register shards as delimited text, with quotes and line breaks inside fields."""
     raw = (
         Proxy(spark, folder)
@@ -101,9 +103,11 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
             ),
         )
     )
-    shards = _scratch(spark, "csv_ingest")
+    shards = _scratch(spark, f"csv_ingest_{whole_up_to}")
     text = _as_text(raw, f"{shards}/raw")
-    stored = layers.write_table(read_text_table(spark, text), f"{shards}/parquet")
+    stored = layers.write_table(
+        read_text_table(spark, text, whole_up_to=whole_up_to), f"{shards}/parquet"
+    )
     projects = register.project_mart(register.clean_projects(stored), PROXY_RULES)
     columns = "cup anno_decisione costo_progetto finanziamento_progetto descrizione_intervento"
     return _rounded(
@@ -269,6 +273,7 @@ def queries() -> dict[str, Query]:
         "layer_years": layer_years,
         "report_funding_detail": report_funding_detail,
         "csv_ingest": csv_ingest,
+        "csv_ingest_cut_files": partial(csv_ingest, whole_up_to=0),
         "works_ingest": lambda spark, folder: _rounded(works_ingest(spark, folder), works_money),
         "quality_metrics": quality_metrics,
     }

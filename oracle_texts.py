@@ -522,5 +522,6 @@ def oracle_sql() -> dict[str, str]:
     }
     return texts | {
         "report_funding_detail": texts["funding_mart"],
+        "csv_ingest_cut_files": texts["csv_ingest"],
         "works_ingest": texts["strategic_status"],
     }

@@ -6,9 +6,11 @@ import csv
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from publicspend.session import PARTITION_BYTES
+
 QUOTE = '"'
 # A part of a file this long without the start of a record is taken for a quoting error.
 LONGEST_FIELD = 16 * 1024 * 1024
@@ -19,30 +21,33 @@ def read_text_table(
     paths: str | list[str],
     sep: str = ";",
     encoding: str = "UTF-8",
-    whole_files: bool = False,
+    whole_up_to: float = PARTITION_BYTES,
 ) -> DataFrame:
     """All columns as strings under the names in the header.
 
     A row with too few or too many fields, or a file whose header differs, stops the read.
 
     A quoted field may span lines. Spark can cut a file into parts only where none does, so
-    the files are first looked through, in parallel. Those with such a field have their lines
+    the files are first looked through, in parallel. Of those with such a field, the ones up
+    to ``whole_up_to`` bytes are read whole, one task each. Larger ones have their lines
     joined to records before parsing, again in parallel; that needs well-formed quoting and
-    stops without it. ``whole_files`` hands each file to one task instead.
+    stops without it. ``math.inf`` has all of them read whole.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     options = {"sep": sep, "encoding": encoding, "quote": QUOTE, "escape": QUOTE, "mode": "FAILFAST"}
     reader = spark.read.options(header=True, enforceSchema=False, **options)
-    if whole_files:
-        return reader.option("multiLine", True).csv(paths)
+    by_file = spark.read.options(header=True, enforceSchema=False, multiLine=True, **options)
     with_open_quotes = files_with_open_quotes(spark, paths)
-    broken, intact = [], []
-    for file, location in sorted(_files(spark, paths).items()):
-        (broken if location in with_open_quotes else intact).append(file)
-    tables = [reader.csv(intact)] if intact else []
-    if broken:
-        records = join_lines(spark, broken, sep, encoding)
-        header = _first_line(spark, broken[0], encoding)
+    intact, small, large = [], [], []
+    for file in _files(spark, paths):
+        if file.location not in with_open_quotes:
+            intact.append(file.path)
+        else:
+            (small if file.length <= whole_up_to else large).append(file.path)
+    tables = [read.csv(group) for read, group in ((reader, intact), (by_file, small)) if group]
+    if large:
+        records = join_lines(spark, large, sep, encoding)
+        header = _first_line(spark, large[0], encoding)
         tables.append(_parse_records(records, header, options))
     return reduce(DataFrame.unionByName, tables)
 
@@ -166,7 +171,8 @@ def _quote_marks(text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, QUOTE, ""))
 
 
-def _files(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Each file with its location, which has blanks and the like written as ``%20``."""
-    listing = spark.read.format("binaryFile").load(paths).select("path", "_metadata.file_path")
-    return {row["path"]: row["file_path"] for row in listing.collect()}
+def _files(spark: SparkSession, paths: list[str]) -> list[Row]:
+    """Path, length and location of each file; a location has blanks written as ``%20``."""
+    listing = spark.read.format("binaryFile").load(paths)
+    columns = ["path", "length", F.col("_metadata.file_path").alias("location")]
+    return sorted(listing.select(*columns).collect())
