@@ -30,6 +30,13 @@ from publicspend.sources.proxy import (  # noqa: E402
     italian_text,
 )
 
+try:
+    from publicspend.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as error:
+    if error.name not in ("publicspend.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -161,6 +168,14 @@ def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    """All queries; those of the text-corpus operators only where their package is present."""
+    found = base_queries()
+    if llm_queries is not None:
+        found |= llm_queries.queries()
+    return found
+
+
+def base_queries() -> dict[str, Query]:
     rules = PROXY_RULES
     amounts = "costo_progetto finanziamento_progetto"
     works_money = (
@@ -280,4 +295,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_texts.oracle_sql()
+    texts = oracle_texts.oracle_sql()
+    if llm_queries is not None:
+        texts |= llm_queries.oracle_sql()
+    return texts

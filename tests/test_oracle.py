@@ -6,9 +6,10 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+import oracle_texts
 
 duckdb = pytest.importorskip("duckdb")
-QUERIES, TEXTS = entry.queries(), entry.oracle_sql()
+QUERIES, TEXTS = entry.base_queries(), oracle_texts.oracle_sql()
 
 
 @pytest.fixture(scope="module")
