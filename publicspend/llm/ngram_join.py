@@ -7,9 +7,10 @@ orders put rare shingles first, as a bounded sketch of the corpus ranks them; am
 uses another hash. The sketch decides what is cheap, never what is right.
 
 Copies are not expanded into pairs. Equal sets collapse by hash before they meet. In a bucket of
-sets that share a prefix shingle, each is compared with a pivot; what links becomes a component,
-and only sets in different components are compared further, with other pivots and then one
-with another. A comparison inside a component could not change it.
+sets that share a prefix shingle, each is compared with the smallest; what links becomes a
+component, and only sets in different components are compared further: with a drawn share of the
+others that keeps the pairs in proportion to the rows, again and again, and in the end with all.
+A comparison inside a component could not change it.
 """
 
 from __future__ import annotations
@@ -33,15 +34,18 @@ _WORDS_KEPT = 500_000
 
 @dataclass(frozen=True)
 class JoinRules:
-    """``words`` in a shingle, least similarity in ``percent``, ``orders``, pivot ``rounds``.
+    """``words`` in a shingle, least similarity in ``percent``, token ``orders``.
 
-    ``sketch_bits``: the sketch has 2 ** sketch_bits counters, whatever the corpus holds.
+    In each of ``rounds`` rounds, ``pairs`` pairs for each bucket row are looked at; what is left
+    after them is compared as a whole. ``sketch_bits``: the sketch has 2 ** sketch_bits counters,
+    whatever the corpus holds.
     """
 
     words: int = 5
     percent: int = 80
     orders: int = 3
-    rounds: int = 3
+    rounds: int = 5
+    pairs: int = 2
     sketch_bits: int = 18
 
     def prefix(self, n: int) -> int:
@@ -306,21 +310,29 @@ def _candidates(met: DataFrame, rules: JoinRules) -> DataFrame:
     )
 
 
-def pivot_pairs(rows: DataFrame, turn: int, rules: JoinRules) -> DataFrame:
-    """Each bucket's sets against one of them; in the first turn, a set's likeliest pivot only."""
-    order = F.struct("n", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)))
-    pivots = rows.groupBy("token").agg(
-        F.min_by(F.struct("node", "n", "place", "label"), order).alias("y")
-    )
-    met = rows.select("token", F.struct("node", "n", "place", "label").alias("x")).join(
-        pivots, "token"
+def _against(rows: DataFrame, others: DataFrame, rules: JoinRules) -> DataFrame:
+    x = rows.select("token", F.struct("node", "n", "place", "label").alias("x"))
+    y = others.select("token", F.struct("node", "n", "place", "label").alias("y"))
+    return _candidates(x.join(y, "token").where("x.label <> y.label"), rules)
+
+
+def first_pairs(rows: DataFrame, rules: JoinRules) -> DataFrame:
+    """Each set against the smallest set of the buckets it shares with it, the likeliest one."""
+    least = F.min_by(F.struct("node", "n", "place", "label"), F.struct("n", "node"))
+    pairs = _against(
+        rows, rows.groupBy("token").agg(least.alias("least")).select("token", "least.*"), rules
     )
-    pairs = _candidates(met.where("x.label <> y.label"), rules)
-    if turn:
-        return pairs.select("a", "b").distinct()
     votes = pairs.groupBy("member", "a", "b").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("member").agg(F.max_by(F.struct("a", "b"), F.struct("votes", "a", "b")).alias("best"))
-    return best.select("best.*").distinct()
+    best = F.max_by(F.struct("a", "b"), F.struct("votes", "a", "b")).alias("best")
+    return votes.groupBy("member").agg(best).select("best.*").distinct()
+
+
+def drawn_pairs(rows: DataFrame, share: float, turn: int, rules: JoinRules) -> DataFrame:
+    """Sets of different components that share a bucket, one of them of a drawn share of sets."""
+    parts = 1 << 30
+    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(parts)) < int(share * parts)
+    others = rows if share >= 1 else rows.where(drawn)
+    return _against(rows, others, rules).select("a", "b").distinct()
 
 
 def pairs_left(rows: DataFrame) -> int:
@@ -332,14 +344,6 @@ def pairs_left(rows: DataFrame) -> int:
     return int(total or 0)
 
 
-def all_pairs(rows: DataFrame, rules: JoinRules) -> DataFrame:
-    """What is left: sets of different components that share a bucket."""
-    x = rows.select("token", F.struct("node", "n", "place", "label").alias("x"))
-    y = rows.select("token", F.struct("node", "n", "place", "label").alias("y"))
-    met = x.join(y, "token").where("x.label <> y.label AND x.node < y.node")
-    return _candidates(met, rules).select("a", "b").distinct()
-
-
 def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFrame:
     """``set_key`` and ``label`` of every set that links with another, by component."""
     spark = docs.sparkSession
@@ -356,17 +360,18 @@ def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFr
     same = docs["doc_id"].eqNullSafe(firsts["first_id"])
     sets = stored(involved_sets(docs.join(firsts, same, "left_semi").distinct(), ranks, rules), "sets")
     labels = spark.createDataFrame([], "set_key binary, label binary")
-    links, tried, last = [], [], False
+    links, tried, share = [], [], 0.0
     for turn in range(rules.rounds + 1):
-        if last:
+        if share >= 1:
             break
         if turn == 0:
             rows = live.withColumn("label", F.col("node"))
+            pairs = first_pairs(rows, rules)
         else:
             by_node = sets.select("set_key", "node").join(labels, "set_key").select("node", "label")
             rows = stored(open_buckets(live, by_node.distinct()), "open")
-            last = turn == rules.rounds or pairs_left(rows) <= 4 * live.count()
-        pairs = all_pairs(rows, rules) if last else pivot_pairs(rows, turn, rules)
+            share = 1.0 if turn == rules.rounds else rules.pairs * live.count() / max(1, pairs_left(rows))
+            pairs = drawn_pairs(rows, share, turn, rules)
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
