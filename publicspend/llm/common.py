@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from publicspend.session import shared_folder
 
@@ -68,7 +69,7 @@ def slices(
 def mapped(
     df: DataFrame,
     column: str,
-    schema: str,
+    schema: str | StructType,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
     limit: int = SLICE_BYTES,
 ) -> DataFrame:

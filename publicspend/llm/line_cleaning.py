@@ -160,3 +160,19 @@ def clean_lines(
         )
 
     return mapped(take(docs, doc_id=id_column, text=text_column), "text", schema, run)
+
+
+def cleaned_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
+    """The documents that pass, with all their columns; failing lines are gone from ``text``."""
+    text, chars = docs.columns.index("text"), docs.columns.index("n_chars")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        judged = [judge(value, rules) for value in batch.column(text).to_pylist()]
+        texts = [left for _, left in judged]
+        columns = list(batch.columns)
+        columns[text] = pa.array(texts, columns[text].type)
+        columns[chars] = pa.array(map(len, texts), columns[chars].type)
+        kept = pa.array([figures[-1] for figures, _ in judged], pa.bool_())
+        return pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(kept)
+
+    return mapped(docs, "text", docs.schema, run)

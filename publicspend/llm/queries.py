@@ -5,8 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from publicspend.llm import line_cleaning, ngram_join
+from publicspend.llm import (
+    line_cleaning,
+    main_text,
+    mixing,
+    ngram_join,
+    pieces,
+    sanitise,
+    url_reputation,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +24,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """The label of the document with a page's number is the page's outcome."""
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad")
+    )
+    return url_reputation.judge_urls(table(spark, folder, "pages"), labels)
+
+
+def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(table(spark, folder, "documents"))
+
+
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return sanitise.digest(sanitise.find_spans(table(spark, folder, "documents")))
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
 
@@ -33,10 +62,19 @@ def op9_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(table(spark, folder, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_url_reputation": op1_url_reputation,
+        "op2_source_mix": op2_source_mix,
+        "op5_sentencepiece": op5_sentencepiece,
+        "op6_personal_data": op6_personal_data,
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_line_quality": op9_line_quality,
+        "op10_main_text": op10_main_text,
     }
 
 
