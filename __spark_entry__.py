@@ -31,6 +31,7 @@ from publicspend.sources.proxy import (  # noqa: E402
 )
 
 try:
+    import corpus_pipeline  # noqa: E402
     from publicspend.llm import queries as llm_queries  # noqa: E402
 except ModuleNotFoundError as error:
     if error.name not in ("publicspend.llm", "corpus_pipeline"):
@@ -171,7 +172,7 @@ def queries() -> dict[str, Query]:
     """All queries; those of the text-corpus operators only where their package is present."""
     found = base_queries()
     if llm_queries is not None:
-        found |= llm_queries.queries()
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
