@@ -15,6 +15,8 @@ from publicspend.llm import (
     pieces,
     sanitise,
     url_reputation,
+    vector_search,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +38,10 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"))
 
@@ -44,6 +50,10 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return sanitise.digest(sanitise.find_spans(table(spark, folder, "documents")))
 
 
+def op7_kd_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
 
@@ -70,8 +80,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_url_reputation": op1_url_reputation,
         "op2_source_mix": op2_source_mix,
+        "op4_warc": op4_warc,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_personal_data": op6_personal_data,
+        "op7_kd_trees": op7_kd_trees,
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_line_quality": op9_line_quality,
         "op10_main_text": op10_main_text,
