@@ -13,6 +13,7 @@ from publicspend.llm import (
     mixing,
     ngram_join,
     pieces,
+    run_index,
     sanitise,
     url_reputation,
     vector_search,
@@ -38,6 +39,10 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
+    return run_index.remove_repeats(table(spark, folder, "documents"), with_kept=False)
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -80,6 +85,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_url_reputation": op1_url_reputation,
         "op2_source_mix": op2_source_mix,
+        "op3_run_index": op3_run_index,
         "op4_warc": op4_warc,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_personal_data": op6_personal_data,
