@@ -37,15 +37,17 @@ class JoinRules:
     """``words`` in a shingle, least similarity in ``percent``, token ``orders``.
 
     In each of ``rounds`` rounds, ``pairs`` pairs for each bucket row are looked at; what is left
-    after them is compared as a whole. ``sketch_bits``: the sketch has 2 ** sketch_bits counters,
+    after them is compared as a whole. Up to ``broadcast_pairs`` pairs to verify are handed to
+    all tasks, 16 bytes each. ``sketch_bits``: the sketch has 2 ** sketch_bits counters,
     whatever the corpus holds.
     """
 
     words: int = 5
     percent: int = 80
     orders: int = 3
-    rounds: int = 5
-    pairs: int = 2
+    rounds: int = 3
+    pairs: int = 32
+    broadcast_pairs: int = 500_000
     sketch_bits: int = 18
 
     def prefix(self, n: int) -> int:
@@ -88,21 +90,24 @@ def set_key(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list]]:
-    """Ids and shingle sets, a few megabytes of text at a time."""
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Rows and their shingle sets, a few megabytes of text at a time."""
     hashes = _Hashes()
     for piece in slices(batches, "text"):
         texts = piece.column("text").cast(pa.binary()).to_pylist()
-        yield piece.column("doc_id"), [shingles(t or b"", width, hashes) for t in texts]
+        yield piece, [shingles(t or b"", width, hashes) for t in texts]
 
 
 def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
-    """Per document its set's size and key, and, in rows without a size, the sketch's counts.
+    """Per document its set's size and key; in rows without a size, the sketch's counts.
 
     A partition reports shingles that lie in two of its sets or more, by counter.
     """
-    schema = "doc_id bigint, n_shingles bigint, set_key binary, node bigint, counter int, n bigint"
-    names = ["doc_id", "n_shingles", "set_key", "node", "counter", "n"]
+    schema = (
+        "doc_id bigint, text_hash bigint, n_shingles bigint, set_key binary, node bigint, "
+        "counter int, n bigint"
+    )
+    names = ["doc_id", "text_hash", "n_shingles", "set_key", "node", "counter", "n"]
     width, bits = rules.words, rules.sketch_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +122,7 @@ def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
             np.add.at(counts, (values[often] >> np.uint64(64 - bits)).astype(np.int64), times[often])
 
         size = 0
-        for ids, sets in _sets(batches, width):
+        for piece, sets in _sets(batches, width):
             keys = [set_key(s) if len(s) else None for s in sets]
             for key, found in zip(keys, sets, strict=True):
                 if key and key not in seen:
@@ -133,15 +138,14 @@ def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
             lengths = pa.array([len(s) for s in sets], pa.int64())
             nodes = pa.array([_node(key) if key else None for key in keys], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids, lengths, pa.array(keys, pa.binary()), nodes, *blank], names
+                [*piece.columns[:3:2], lengths, pa.array(keys, pa.binary()), nodes, *blank], names
             )
         if waiting:
             count()
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.nulls(len(used), pa.int64()),
-                pa.nulls(len(used), pa.int64()),
+                *[pa.nulls(len(used), pa.int64())] * 3,
                 pa.nulls(len(used), pa.binary()),
                 pa.nulls(len(used), pa.int64()),
                 pa.array(used, pa.int32()),
@@ -150,7 +154,7 @@ def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
             names,
         )
 
-    return docs.mapInArrow(run, schema)
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 def sketch_ranks(described: DataFrame, bits: int) -> np.ndarray:
@@ -217,22 +221,27 @@ def prefix_rows(docs: DataFrame, ranks: np.ndarray, rules: JoinRules) -> DataFra
 
 
 def involved_sets(docs: DataFrame, ranks: np.ndarray, rules: JoinRules) -> DataFrame:
-    """Whole sets, and their prefixes under the other orders, of the given documents."""
+    """Whole sets, and their prefixes under all orders, of the given documents."""
     width, bits = rules.words, rules.sketch_bits
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     names = ["set_key", "node", "n", "found", "prefixes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
+        seen: set[bytes] = set()
         for _, sets in _sets(batches, width):
-            sets = [s for s in sets if len(s)]
-            if not sets:
+            new = {set_key(s): s for s in sets if len(s)}
+            new = {key: s for key, s in new.items() if key not in seen}
+            if len(seen) > _WORDS_KEPT:
+                seen.clear()
+            seen |= new.keys()
+            if not new:
                 continue
-            keys = [set_key(s) for s in sets]
+            keys, sets = list(new), list(new.values())
             prefixes = [
                 [
                     in_order(s, ranks, bits, k, rules.prefix(len(s))).view(np.int64)
-                    for k in range(1, rules.orders)
+                    for k in range(rules.orders)
                 ]
                 for s in sets
             ]
@@ -260,27 +269,68 @@ def _close(n: str, m: str, percent: int) -> F.Column:
     return 100 * small >= percent * large
 
 
+def _sides(pairs: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
+    """The pairs (a, b) of nodes with what is known of both; each set travels once for each pair."""
+    if pairs.count() <= rules.broadcast_pairs:
+        pairs = F.broadcast(pairs)
+    sides = []
+    for side in "ab":
+        named = sets.select(*[F.col(c).alias(f"{c}_{side}") for c in sets.columns])
+        sides.append(named.join(pairs, F.col(f"node_{side}") == F.col(side)))
+    return sides[0].join(sides[1], ["a", "b"])
+
+
+def filtered(pairs: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
+    """The pairs that pass under every order.
+
+    What two sets share beyond their common prefix tokens lies behind the prefix of one of them.
+    So the prefixes must share enough tokens for a link, not just one.
+    """
+    met = _sides(pairs, sets.select("node", "n", "prefixes"), rules)
+    total = F.col("n_a").cast("bigint") + F.col("n_b")
+    most = F.greatest("n_a", "n_b").cast("bigint")
+    need = _share_up(total, rules.percent, 100 + rules.percent) - _share_up(most, rules.percent, 100)
+    for k in range(rules.orders):
+        common = F.array_intersect(F.col("prefixes_a")[k], F.col("prefixes_b")[k])
+        met = met.where(F.size(common) >= need + 1)
+    return met.select("a", "b").distinct()
+
+
+def _share_up(n: F.Column, part: int, whole: int) -> F.Column:
+    """ceil(n * part / whole) in whole numbers."""
+    return F.floor((n * part + (whole - 1)) / whole).cast("bigint")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
-    """Of the candidate pairs (a, b) of nodes, those that link, as pairs of set keys."""
-    left = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
-    right = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns])
-    met = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
-    for k in range(rules.orders - 1):  # all filters first
-        met = met.where(F.arrays_overlap(F.col("prefixes_a")[k], F.col("prefixes_b")[k]))
+    """Of the pairs (a, b) of nodes, those that link, as pairs of set keys."""
+    met = _sides(pairs, sets.select("node", "n", "set_key", "found"), rules)
     common = F.size(F.array_intersect("found_a", "found_b")).cast("bigint")
-    total = F.col("n_a").cast("bigint") + F.col("n_b").cast("bigint")
+    total = F.col("n_a").cast("bigint") + F.col("n_b")
     return met.where(
         _close("n_a", "n_b", rules.percent) & (100 * common >= rules.percent * (total - common))
     ).select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"))
 
 
-def live_buckets(rows: DataFrame) -> DataFrame:
-    """The prefix rows whose token lies in the prefixes of two sets at least, each once."""
-    bucket = Window.partitionBy("token")
-    spread = rows.withColumn("low", F.min("node").over(bucket)).withColumn(
-        "high", F.max("node").over(bucket)
-    )
-    return spread.where("low <> high").dropDuplicates(["token", "node"]).drop("low", "high")
+def live_buckets(rows: DataFrame, rules: JoinRules) -> DataFrame:
+    """The prefix rows that may meet another set's at their token, each once.
+
+    By size, the smaller set of a linking pair has the first token that both share in the first
+    ``n - ceil(2 p / (100 + p) n) + 1`` places of its own prefix: its row ``leads``. So a row stays
+    if a leading row of a set at most as large, and nearly as large, comes before it in its
+    bucket, or if it leads and the next set is close. Equal rows, of copies in several
+    partitions, count once.
+    """
+    need = F.ceil(2 * rules.percent * F.col("n") / (100 + rules.percent))
+    bucket = Window.partitionBy("token").orderBy("n", "node")
+    once = rows.withColumn("previous", F.lag("node").over(bucket))
+    once = once.where("previous IS NULL OR previous <> node").drop("previous")
+    met = once.withColumn("leads", F.col("place") <= F.col("n") - need)
+    above = bucket.rowsBetween(Window.unboundedPreceding, -1)
+    met = met.withColumn("lower", F.last(F.when(F.col("leads"), F.col("n")), True).over(above))
+    met = met.withColumn("next", F.lead("n").over(bucket))
+    after = F.col("leads") & F.col("next").isNotNull() & _close("n", "next", rules.percent)
+    before = F.col("lower").isNotNull() & _close("lower", "n", rules.percent)
+    return met.where(after | before).drop("lower", "next")
 
 
 def open_buckets(live: DataFrame, labels: DataFrame) -> DataFrame:
@@ -292,63 +342,59 @@ def open_buckets(live: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(spread.where("low <> high").select("token"), "token")
 
 
-def _candidates(met: DataFrame, rules: JoinRules) -> DataFrame:
-    """Rows (a, b) of two bucket rows that may link by their sizes and the token's places.
+def _against(smaller: DataFrame, rows: DataFrame, rules: JoinRules) -> DataFrame:
+    """(a, b, member) where a leading row of ``smaller`` meets a row of a larger set.
 
-    At the first token that two prefixes share, no more than what follows can be common.
+    Both are of different components and close in size, and what follows the token in both sets,
+    the first that they share, is enough for a link.
     """
+    x = smaller.where("leads").select("token", F.struct("node", "n", "place", "label").alias("x"))
+    y = rows.select("token", F.struct("node", "n", "place", "label").alias("y"))
     rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    enough = (100 + rules.percent) * rest.cast("bigint") >= rules.percent * (
-        F.col("x.n").cast("bigint") + F.col("y.n")
+    total = F.col("x.n").cast("bigint") + F.col("y.n")
+    fits = (
+        (F.struct("x.n", "x.node") < F.struct("y.n", "y.node"))
+        & (F.col("x.label") != F.col("y.label"))
+        & _close("x.n", "y.n", rules.percent)
+        & ((100 + rules.percent) * rest.cast("bigint") >= rules.percent * total)
     )
-    return met.where(
-        (F.col("x.node") != F.col("y.node")) & _close("x.n", "y.n", rules.percent) & enough
-    ).select(
-        F.least("x.node", "y.node").alias("a"),
-        F.greatest("x.node", "y.node").alias("b"),
-        F.col("x.node").alias("member"),
-    )
-
-
-def _against(rows: DataFrame, others: DataFrame, rules: JoinRules) -> DataFrame:
-    x = rows.select("token", F.struct("node", "n", "place", "label").alias("x"))
-    y = others.select("token", F.struct("node", "n", "place", "label").alias("y"))
-    return _candidates(x.join(y, "token").where("x.label <> y.label"), rules)
+    met = x.withColumnRenamed("token", "_token").join(y, (F.col("_token") == F.col("token")) & fits)
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def first_pairs(rows: DataFrame, rules: JoinRules) -> DataFrame:
     """Each set against the smallest set of the buckets it shares with it, the likeliest one."""
-    least = F.min_by(F.struct("node", "n", "place", "label"), F.struct("n", "node"))
-    pairs = _against(
-        rows, rows.groupBy("token").agg(least.alias("least")).select("token", "least.*"), rules
-    )
-    votes = pairs.groupBy("member", "a", "b").agg(F.count("*").alias("votes"))
-    best = F.max_by(F.struct("a", "b"), F.struct("votes", "a", "b")).alias("best")
-    return votes.groupBy("member").agg(best).select("best.*").distinct()
+    least = F.min_by(F.struct("node", "n", "place", "label", "leads"), F.struct("n", "node"))
+    smallest = rows.where("leads").groupBy("token").agg(least.alias("least"))
+    pairs = _against(smallest.select("token", "least.*"), rows, rules)
+    votes = pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
+    best = F.max_by("a", F.struct("votes", "a")).alias("a")
+    return votes.groupBy("b").agg(best).select("a", "b")
 
 
 def drawn_pairs(rows: DataFrame, share: float, turn: int, rules: JoinRules) -> DataFrame:
-    """Sets of different components that share a bucket, one of them of a drawn share of sets."""
+    """Pairs of which the smaller set is among a drawn share of the sets."""
     parts = 1 << 30
     drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(parts)) < int(share * parts)
-    others = rows if share >= 1 else rows.where(drawn)
-    return _against(rows, others, rules).select("a", "b").distinct()
+    return _against(rows if share >= 1 else rows.where(drawn), rows, rules).distinct()
 
 
 def pairs_left(rows: DataFrame) -> int:
-    """How many pairs of bucket rows are of different components."""
-    parts = rows.groupBy("token", "label").count()
-    whole = F.col("count").cast("double")
-    buckets = parts.groupBy("token").agg(F.sum(whole).alias("all"), F.sum(whole * whole).alias("own"))
-    total = buckets.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0]
-    return int(total or 0)
+    """How many pairs of a leading row and another of a different component there may be."""
+    parts = rows.groupBy("token", "label").agg(
+        F.count("*").cast("double").alias("n"), F.count_if("leads").cast("double").alias("leading")
+    )
+    buckets = parts.groupBy("token").agg(
+        (F.sum("n") * F.sum("leading") - F.sum(F.col("n") * F.col("leading"))).alias("pairs")
+    )
+    return int(buckets.agg(F.sum("pairs")).first()[0] or 0)
 
 
 def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFrame:
     """``set_key`` and ``label`` of every set that links with another, by component."""
     spark = docs.sparkSession
     ranks = sketch_ranks(described, rules.sketch_bits)
-    live = stored(live_buckets(prefix_rows(docs, ranks, rules)), "buckets")
+    live = stored(live_buckets(prefix_rows(docs, ranks, rules), rules), "buckets")
     full = described.where("n_shingles > 0")
     firsts = (
         full.join(live.select("node").distinct(), "node", "left_semi")
@@ -358,7 +404,7 @@ def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFr
         .distinct()
     )
     same = docs["doc_id"].eqNullSafe(firsts["first_id"])
-    sets = stored(involved_sets(docs.join(firsts, same, "left_semi").distinct(), ranks, rules), "sets")
+    sets = stored(involved_sets(docs.join(firsts, same, "left_semi"), ranks, rules), "sets")
     labels = spark.createDataFrame([], "set_key binary, label binary")
     links, tried, share = [], [], 0.0
     for turn in range(rules.rounds + 1):
@@ -370,13 +416,14 @@ def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFr
         else:
             by_node = sets.select("set_key", "node").join(labels, "set_key").select("node", "label")
             rows = stored(open_buckets(live, by_node.distinct()), "open")
-            share = 1.0 if turn == rules.rounds else rules.pairs * live.count() / max(1, pairs_left(rows))
+            left = max(1, pairs_left(rows))
+            share = 1.0 if turn == rules.rounds else rules.pairs * live.count() / left
             pairs = drawn_pairs(rows, share, turn, rules)
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried.append(pairs)
-        found = stored(verified(pairs, sets, rules), "links")
+        found = stored(verified(stored(filtered(pairs, sets, rules), "passed"), sets, rules), "links")
         if found.isEmpty():
             continue
         links.append(found)
@@ -401,23 +448,52 @@ def near_duplicates(
     component are null, so is its name. Shingles are compared by 64-bit hashes, sets by 128-bit
     hashes. Other columns are left out.
     """
-    rows = take(docs, doc_id=id_column, text=text_column)
+    return _members(take(docs, doc_id=id_column, text=text_column), rules).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def _members(rows: DataFrame, rules: JoinRules) -> DataFrame:
     described = stored(describe(rows, rules), "described")
     labels = link_sets(rows, described, rules)
-    documents = described.where("counter IS NULL").select("doc_id", "n_shingles", "set_key")
+    documents = described.where("counter IS NULL").select(
+        "doc_id", "text_hash", "n_shingles", "set_key"
+    )
     classes = (
         documents.where("n_shingles > 0")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("first_id"))
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min("doc_id").alias("first_id"))
         .join(labels, "set_key", "left")
         .withColumn("label", F.coalesce("label", "set_key"))
     )
-    names = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    members = classes.join(names, "label").select("set_key", "component_id")
+    names = classes.groupBy("label").agg(
+        F.min("first_id").alias("component_id"), F.min("least").alias("kept")
+    )
+    members = classes.join(names, "label").select("set_key", "component_id", "kept")
+    own = F.struct("doc_id", "text_hash")
+    full = F.col("n_shingles") > 0
     return documents.join(members, "set_key", "left").select(
         "doc_id",
+        "text_hash",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id"))
-        .otherwise(F.col("doc_id"))
-        .alias("component_id"),
+        F.when(full, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(full, F.col("kept").eqNullSafe(own)).otherwise(True).alias("stays"),
+    )
+
+
+def first_of_each_group(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
+    """The documents without near duplicates: of each component one row with the smallest id.
+
+    Texts without words are linked with nothing and all stay.
+    """
+    members = _members(take(docs, doc_id="doc_id", text="text"), rules)
+    stay = members.where("stays").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+    )
+    hashed = docs.withColumn("_own", F.xxhash64("text"))
+    met = hashed.join(
+        stay.distinct(), hashed["doc_id"].eqNullSafe(stay["_id"]) & (F.col("_own") == stay["_hash"])
     )
+    copy = F.row_number().over(Window.partitionBy("_id", "_own").orderBy("_own"))
+    blank = ~F.coalesce(F.col("text").rlike("[^ \\t-\\r]"), F.lit(False))
+    return met.withColumn("_copy", copy).where(blank | (F.col("_copy") == 1)).select(*docs.columns)
