@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import uuid
 from collections.abc import Callable
 from functools import partial
 from pathlib import Path
@@ -19,7 +20,7 @@ from publicspend.functions.text import comma_decimal, italian_number, lenient_in
 from publicspend.operators import procurement, quality, register, rollups, strategic  # noqa: E402
 from publicspend.operators.quality import Contract  # noqa: E402
 from publicspend.plans import compose, marts, reports  # noqa: E402
-from publicspend.session import PARTITION_BYTES, shared_folder  # noqa: E402
+from publicspend.session import shared_folder  # noqa: E402
 from publicspend.sources import layers  # noqa: E402
 from publicspend.sources.csv_files import read_text_table  # noqa: E402
 from publicspend.sources.proxy import (  # noqa: E402
@@ -64,7 +65,8 @@ def _over_wide(report: Callable[[DataFrame], DataFrame], money: str = "", digits
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/publicspend/{spark.sparkContext.applicationId}/{name}"
+    run = f"{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}/publicspend/{run}"
 
 
 def italian_amount_cast(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,30 +94,38 @@ def _as_text(df: DataFrame, path: str) -> str:
 
 def works_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The strategic-works report as delimited text, read back, typed and classified."""
-    raw = Proxy(spark, folder).works_raw()
+    raw = Proxy(spark, folder).works_raw().withColumn("NOTE", F.lit("not mapped"))
     stored = read_text_table(spark, _as_text(raw, _scratch(spark, "works_ingest")))
     return strategic.works_mart(strategic.clean_works(stored, WORKS_YEAR))
 
 
 def csv_ingest(
-    spark: SparkSession, folder: str, whole_up_to: float = PARTITION_BYTES
+    spark: SparkSession, folder: str, line_break: str = "\n", part_bytes: int | None = None
 ) -> DataFrame:
-    """Register shards as delimited text, with quotes and line breaks inside fields."""
+    """Register shards as delimited text, with quotes and line breaks inside fields.
+
+    ``part_bytes``: cut the files into parts of this size.
+    """
     raw = (
         Proxy(spark, folder)
         .projects_raw()
         .withColumn(
             "DESCRIZIONE_INTERVENTO",
             F.format_string(
-                '%s "%s"\n%s', "SETTORE_INTERVENTO", "STATO_PROGETTO", "SOGGETTO_TITOLARE"
+                f'%s "%s"{line_break}%s', "SETTORE_INTERVENTO", "STATO_PROGETTO", "SOGGETTO_TITOLARE"
             ),
         )
     )
-    shards = _scratch(spark, f"csv_ingest_{whole_up_to}")
+    shards = _scratch(spark, "csv_ingest")
     text = _as_text(raw, f"{shards}/raw")
-    stored = layers.write_table(
-        read_text_table(spark, text, whole_up_to=whole_up_to), f"{shards}/parquet"
-    )
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    if part_bytes:
+        spark.conf.set(setting, str(part_bytes))
+    try:
+        stored = layers.write_table(read_text_table(spark, text), f"{shards}/parquet")
+    finally:
+        spark.conf.set(setting, before)
     projects = register.project_mart(register.clean_projects(stored), PROXY_RULES)
     columns = "cup anno_decisione costo_progetto finanziamento_progetto descrizione_intervento"
     return _rounded(
@@ -289,7 +299,8 @@ def base_queries() -> dict[str, Query]:
         "layer_years": layer_years,
         "report_funding_detail": report_funding_detail,
         "csv_ingest": csv_ingest,
-        "csv_ingest_cut_files": partial(csv_ingest, whole_up_to=0),
+        "csv_ingest_cut_files": partial(csv_ingest, part_bytes=1 << 20),
+        "csv_ingest_crlf": partial(csv_ingest, line_break="\r\n"),
         "works_ingest": lambda spark, folder: _rounded(works_ingest(spark, folder), works_money),
         "quality_metrics": quality_metrics,
     }

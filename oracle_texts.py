@@ -523,5 +523,6 @@ def oracle_sql() -> dict[str, str]:
     return texts | {
         "report_funding_detail": texts["funding_mart"],
         "csv_ingest_cut_files": texts["csv_ingest"],
+        "csv_ingest_crlf": texts["csv_ingest"].replace("chr(10)", "chr(13) || chr(10)"),
         "works_ingest": texts["strategic_status"],
     }

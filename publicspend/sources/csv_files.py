@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import csv
+import io
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from publicspend.session import PARTITION_BYTES
-
 QUOTE = '"'
-# A part of a file this long without the start of a record is taken for a quoting error.
-LONGEST_FIELD = 16 * 1024 * 1024
+# Files that need their lines joined are named in a filter up to this many; beyond, all files are
+# treated as if they did, which gives the same rows.
+MOST_LISTED = 10_000
 
 
 def read_text_table(
@@ -21,68 +21,93 @@ def read_text_table(
     paths: str | list[str],
     sep: str = ";",
     encoding: str = "UTF-8",
-    whole_up_to: float = PARTITION_BYTES,
 ) -> DataFrame:
     """All columns as strings under the names in the header.
 
-    A row with too few or too many fields, or a file whose header differs, stops the read.
+    Fields may be quoted, and quoted fields may span lines; their line breaks are kept as they
+    are. A quote mark outside a quoted field or in the middle of an unquoted one, a field that is
+    never closed, a row with too few or too many fields, whatever columns are used of it, names
+    that differ only in case and a file whose header differs stop the read. All of that is the
+    same for files of every size.
 
-    A quoted field may span lines. Spark can cut a file into parts only where none does, so
-    the files are first looked through, in parallel. Of those with such a field, the ones up
-    to ``whole_up_to`` bytes are read whole, one task each. Larger ones have their lines
-    joined to records before parsing, again in parallel; that needs well-formed quoting and
-    stops without it. ``math.inf`` has all of them read whole.
+    Spark cuts files into parts at line ends. A file without a line that ends inside quotes has a
+    record on each line. The lines of the others are joined to records first, in parallel.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    options = {"sep": sep, "encoding": encoding, "quote": QUOTE, "escape": QUOTE, "mode": "FAILFAST"}
-    reader = spark.read.options(header=True, enforceSchema=False, **options)
-    by_file = spark.read.options(header=True, enforceSchema=False, multiLine=True, **options)
-    with_open_quotes = files_with_open_quotes(spark, paths)
-    intact, small, large = [], [], []
-    for file in _files(spark, paths):
-        if file.location not in with_open_quotes:
-            intact.append(file.path)
-        else:
-            (small if file.length <= whole_up_to else large).append(file.path)
-    tables = [read.csv(group) for read, group in ((reader, intact), (by_file, small)) if group]
-    if large:
-        records = join_lines(spark, large, sep, encoding)
-        header = _first_line(spark, large[0], encoding)
-        tables.append(_parse_records(records, header, options))
-    return reduce(DataFrame.unionByName, tables)
-
-
-def files_with_open_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Locations of the files in which some line ends inside a quoted field.
-
-    The first such line of a file starts outside quotes and so holds an odd number of
-    quote marks; a file without odd lines has none.
+    lines = _lines(spark, paths, encoding)
+    first = lines.select("file", "value").first()
+    if first is None:
+        raise ValueError(f"no header in {', '.join(paths)}")
+    header = first.value.rstrip("\r")
+    broken = files_to_join(lines, header)
+    everything = len(broken) > MOST_LISTED
+    listed = F.col("file").isin(broken) if broken and not everything else F.lit(everything)
+    records = []
+    if not everything:
+        text = F.regexp_replace("value", r"\r$", "")
+        skip = listed | ((F.col("part") == 0) & (text == header))
+        plain = lines.where(~listed) if broken else lines
+        records.append(plain.select("file", text.alias("text"), skip.alias("skip")))
+    if broken:
+        joined = join_lines(lines.where(listed))
+        if header.count(QUOTE) % 2:
+            own = join_lines(lines.where(F.col("file") == first.file))
+            header = own.where("record = 1").first().text
+        error = F.raise_error(F.concat(F.lit("the header differs in "), "file")).cast("boolean")
+        skip = F.when(F.col("record") > 1, False).when(F.col("text") == header, True).otherwise(error)
+        records.append(joined.select("file", "text", skip.alias("skip")))
+    options = {"sep": sep, "quote": QUOTE, "escape": QUOTE, "mode": "FAILFAST"}
+    return _parse(reduce(DataFrame.unionAll, records), header, options)
+
+
+def _lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
+    """``file, part, line, value, marks``: every line, with the number of its quote marks.
+
+    Encodings must write line ends as ASCII does.
+    """
+    value = F.col("value")
+    if encoding.upper() not in ("UTF-8", "UTF8"):  # Spark reads lines as bytes
+        value = F.decode(value.cast("binary"), encoding)
+    return (
+        spark.read.options(lineSep="\n")
+        .text(paths)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("part"),
+            F.monotonically_increasing_id().alias("line"),
+            value.alias("value"),
+        )
+        .withColumn("marks", _quote_marks(F.col("value")))
+    )
+
+
+def files_to_join(lines: DataFrame, header: str) -> list[str]:
+    """Files whose lines are not simply a header and a record each, ``MOST_LISTED + 1`` at most.
+
+    The first line that ends inside a quoted field starts outside quotes and so holds an odd
+    number of quote marks; a file without odd lines has none.
     """
-    lines = spark.read.text(paths).select("value", "_metadata.file_path")
-    odd = lines.where(_quote_marks(F.col("value")) % 2 == 1)
-    return {row[0] for row in odd.select("file_path").distinct().collect()}
+    same = F.regexp_replace("value", r"\r$", "") == header
+    at = F.struct("part", "line")
+    facts = lines.groupBy("file").agg(
+        F.max(F.col("marks") % 2).alias("odd"),
+        F.count_if(same & (F.col("part") == 0)).alias("headers"),
+        F.min_by(same, at).alias("begins"),
+    )
+    found = facts.where("odd = 1 OR headers <> 1 OR NOT begins")
+    return [row[0] for row in found.select("file").limit(MOST_LISTED + 1).collect()]
 
 
-def join_lines(spark: SparkSession, files: list[str], sep: str, encoding: str) -> DataFrame:
+def join_lines(lines: DataFrame) -> DataFrame:
     """``file, record, text``: one row per record, numbered from 1 in each file.
 
     A line starts a record if the quote marks before it in the file add up to an even
     number. Within each part Spark cuts from a file the marks are added up line by line,
     and record starts counted for both cases, an even and an odd number before the part.
-    One row per part then tells which case holds and how many records came before.
+    One row per part, all of a file's in one task, then tells which case holds and how many
+    records came before. A file whose marks add up to an odd number is refused.
     """
     part = ["file", "part"]
-    lines = (
-        spark.read.options(lineSep="\n", encoding=encoding)
-        .text(files)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("part"),
-            F.monotonically_increasing_id().alias("line"),
-            "value",
-        )
-        .withColumn("marks", _quote_marks(F.col("value")))
-    )
     upto = Window.partitionBy(*part).orderBy("line")
     counted = (
         lines.withColumn("odd_before", (F.sum("marks").over(upto) - F.col("marks")) % 2)
@@ -95,18 +120,18 @@ def join_lines(spark: SparkSession, files: list[str], sep: str, encoding: str) -
         counted.groupBy(*part)
         .agg(
             F.sum("marks").alias("marks_in"),
-            F.sum(F.char_length("value")).alias("length"),
             F.max("starts_if_even").alias("even"),
             F.max("starts_if_odd").alias("odd"),
         )
         .withColumn("odd_part", F.coalesce(F.sum("marks_in").over(earlier), F.lit(0)) % 2)
         .withColumn("records", F.when(is_odd, F.col("odd")).otherwise(F.col("even")))
         .withColumn("first", F.coalesce(F.sum("records").over(earlier), F.lit(0)))
+        .withColumn("marks_in_file", F.sum("marks_in").over(Window.partitionBy("file")))
         .select(
             *part,
             "odd_part",
             F.when(
-                (F.col("records") == 0) & (F.col("length") > LONGEST_FIELD),
+                F.col("marks_in_file") % 2 == 1,
                 F.raise_error(F.concat(F.lit("quoted field never closed in "), "file")),
             )
             .otherwise(F.col("first"))
@@ -128,51 +153,34 @@ def join_lines(spark: SparkSession, files: list[str], sep: str, encoding: str) -
         .groupBy("file", "record")
         .agg(F.array_join(pieces["value"], "\n").alias("text"))
     )
-    return _well_formed(single.unionAll(joined), sep)
-
-
-def _well_formed(records: DataFrame, sep: str) -> DataFrame:
-    """Records without the line end and blank lines; a stray quote mark stops the read."""
-    sep = re.escape(sep)
-    plain, quoted = f'[^"{sep}]*+', '"[^"]*+(?:""[^"]*+)*+"'
-    field = f"(?:{quoted}|{plain})"
     text = F.regexp_replace("text", r"\r$", "")
-    error = F.concat(F.lit("quote mark inside an unquoted field in "), "file")
-    return (
-        records.withColumn("text", text)
-        .where(F.col("text") != "")
-        .withColumn(
-            "text",
-            F.when(F.col("text").rlike(f"^{field}(?:{sep}{field})*+$"), F.col("text")).otherwise(
-                F.raise_error(error)
-            ),
-        )
-    )
+    return single.unionAll(joined).withColumn("text", text)
 
 
-def _first_line(spark: SparkSession, file: str, encoding: str) -> str:
-    line = spark.read.options(lineSep="\n", encoding=encoding).text(file).first()
-    return line.value.rstrip("\r")
+def _parse(records: DataFrame, header: str, options: dict[str, str]) -> DataFrame:
+    """Columns from the records; a record of another shape stops the read.
 
-
-def _parse_records(records: DataFrame, header: str, options: dict[str, str]) -> DataFrame:
-    """Columns from the records; the first one of every file must be the header."""
-    names = next(csv.reader([header], delimiter=options["sep"]))
-    schema = ", ".join(f"`{name}` string" for name in names)
-    error = F.concat(F.lit("the header differs in "), "file")
-    is_data = F.when(F.col("record") > 1, True).otherwise(
-        F.when(F.col("text") == header, False).otherwise(F.raise_error(error).cast("boolean"))
+    The test of the shape is a filter, so it is made whatever columns are used later.
+    """
+    names = next(csv.reader(io.StringIO(header, newline=""), delimiter=options["sep"]))
+    if len({name.lower() for name in names}) < len(names):
+        raise ValueError(f"names in the header differ only in case, or not at all: {header}")
+    sep = re.escape(options["sep"])
+    field = f'(?:"[^"]*+(?:""[^"]*+)*+"|[^"{sep}]*+)'
+    shape = f"^{field}(?:{sep}{field}){{{len(names) - 1}}}$"
+    quoting = f"^{field}(?:{sep}{field})*+$"
+    problem = F.when(F.col("text").rlike(quoting), "too few or too many fields in ").otherwise(
+        "quote mark inside an unquoted field in "
     )
+    fits = (  # one expression, as Spark may put conditions in another order
+        F.when(F.col("skip") | (F.col("text") == ""), False)
+        .when(F.col("text").rlike(shape), True)
+        .otherwise(F.raise_error(F.concat(problem, "file")).cast("boolean"))
+    )
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
     parsed = F.from_csv("text", schema, options)
-    return records.where(is_data).select(parsed.alias("row")).select("row.*")
+    return records.where(fits).select(parsed.alias("row")).select("row.*")
 
 
 def _quote_marks(text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, QUOTE, ""))
-
-
-def _files(spark: SparkSession, paths: list[str]) -> list[Row]:
-    """Path, length and location of each file; a location has blanks written as ``%20``."""
-    listing = spark.read.format("binaryFile").load(paths)
-    columns = ["path", "length", F.col("_metadata.file_path").alias("location")]
-    return sorted(listing.select(*columns).collect())

@@ -1,5 +1,4 @@
 import csv
-import math
 import random
 
 import pytest
@@ -10,16 +9,22 @@ from publicspend.operators import register
 from publicspend import session as settings
 from publicspend.session import size_shuffles
 from publicspend.sources import csv_files, layers
-from publicspend.sources.csv_files import files_with_open_quotes, join_lines, read_text_table
+from publicspend.sources.csv_files import join_lines, read_text_table
 
 
 
 @pytest.fixture
-def small_parts(spark):
-    """Every file of more than 1,000 bytes is cut."""
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    yield
+def parts(spark):
+    """Sets whether files are cut, at every 100 bytes."""
+
+    def cut(small):
+        if small:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+            spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        else:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+    yield cut
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
@@ -45,11 +50,10 @@ def shards(tmp_path):
     return plain, broken
 
 
-@pytest.mark.parametrize("whole_up_to", [0, math.inf])
-def test_shards(spark, shards, tmp_path, whole_up_to):
-    plain, broken = shards
-    assert {p.rsplit("/", 1)[1] for p in files_with_open_quotes(spark, list(shards))} == {"b.csv"}
-    raw = read_text_table(spark, list(shards), whole_up_to=whole_up_to)
+@pytest.mark.parametrize("cut", [False, True])
+def test_shards(spark, shards, tmp_path, cut, parts):
+    parts(cut)
+    raw = read_text_table(spark, list(shards))
     assert set(raw.dtypes) == {(c, "string") for c in register.PROJECT_COLUMNS}
     stored = layers.write_table(raw, f"{tmp_path}/raw.parquet")
     rows = {r.cup: r for r in register.clean_projects(stored).collect()}
@@ -59,16 +63,21 @@ def test_shards(spark, shards, tmp_path, whole_up_to):
     assert rows["D"].descrizione_intervento == "é" and rows["D"].cup_master is None
 
 
-@pytest.mark.parametrize("whole_up_to", [0, math.inf])
-def test_blank_in_a_file_name(spark, tmp_path, whole_up_to):
+@pytest.mark.parametrize("cut", [False, True])
+def test_blank_in_a_file_name(spark, tmp_path, cut, parts):
+    parts(cut)
     write(tmp_path / "a shard è.csv", line("A", "1", '"x\ny"'))
     write(tmp_path / "b shard.csv", line("B", "1", "x"))
-    rows = read_text_table(spark, str(tmp_path), whole_up_to=whole_up_to).select("CUP").collect()
+    rows = read_text_table(spark, str(tmp_path)).select("CUP").collect()
     assert sorted(r.CUP for r in rows) == ["A", "B"]
 
 
-def test_records_across_parts(spark, tmp_path, small_parts):
-    """Fields of every length over lines, in a file cut into many small parts."""
+def raw_rows(spark, path):
+    return sorted(map(tuple, read_text_table(spark, str(path)).collect()), key=repr)
+
+
+def test_records_across_parts(spark, tmp_path, parts):
+    """Fields of every length over lines: whole and in many small parts, the same rows."""
     rng = random.Random(3)
     rows = []
     for i in range(400):
@@ -78,55 +87,76 @@ def test_records_across_parts(spark, tmp_path, small_parts):
     with path.open("w", encoding="utf-8", newline="") as f:
         writer = csv.writer(f, delimiter=";", lineterminator="\r\n")
         writer.writerows([("id", "text", "c", "d"), *rows])
-    assert join_lines(spark, [str(path)], ";", "UTF-8").count() == 401
-    found = {r.id: tuple(r) for r in read_text_table(spark, str(path), whole_up_to=0).collect()}
-    assert found == {r[0]: tuple(v or None for v in r) for r in rows}
-    whole = {r.id: tuple(r) for r in read_text_table(spark, str(path)).collect()}
-    assert whole.keys() == found.keys()
-
-
-def test_stray_quote_stops_the_read(spark, tmp_path):
-    lines = [line("A", "1", 'pipe 5" wide'), line("B", "1", "x"), line("C", "1", 'pipe 7" wide')]
-    path = write(tmp_path / "a.csv", *lines)
-    with pytest.raises((PySparkException, Py4JJavaError), match="quote mark inside"):
-        read_text_table(spark, path, whole_up_to=0).collect()
-    assert read_text_table(spark, path).count() == 3
-
-
-def test_field_never_closed_stops_the_read(spark, tmp_path, monkeypatch, small_parts):
-    monkeypatch.setattr(csv_files, "LONGEST_FIELD", 100)
-    path = write(tmp_path / "a.csv", line("A", "1", '"open'), *[line("B", "1", "x")] * 200)
-    with pytest.raises((PySparkException, Py4JJavaError), match="never closed"):
-        read_text_table(spark, path, whole_up_to=0).collect()
-
-
-@pytest.mark.parametrize("whole_up_to", [0, math.inf])
-def test_ragged_record_over_lines_stops_the_read(spark, tmp_path, whole_up_to):
-    path = write(tmp_path / "a.csv", 'A;1;"2\n3"')
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        read_text_table(spark, path, whole_up_to=whole_up_to).collect()
+    expected = sorted((tuple(v or None for v in row) for row in rows), key=repr)
+    assert raw_rows(spark, path) == expected
+    parts(True)
+    assert join_lines(csv_files._lines(spark, [str(path)], "UTF-8")).count() == 401
+    assert raw_rows(spark, path) == expected
+
+
+@pytest.mark.parametrize("cut", [False, True])
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ('A;B\n1;"x\r\ny"\n', [("1", "x\r\ny")]),
+        ('A;B\r\n1;"x"\r\n2;y\r\n', [("1", "x"), ("2", "y")]),
+        ('A;B\n1;pipe 5" wide\n', "never closed"),
+        ('A;B\n1;pipe 5" wide\n2;pipe 6" wide\n', "too few or too many|quote mark inside"),
+        ('A;B\n1;pipes 5" and 6" wide\n', "quote mark inside"),
+        ('A;B\n1; "q" \n', "quote mark inside"),
+        ('A;"B\nC"\n1;2\n', [("1", "2")]),
+        ("A;a\n1;2\n", "differ only in case"),
+        ('A;B\n1;"open\n' + "2;y\n" * 60, "never closed"),
+        ("A;B\n1\n", "too few or too many"),
+        ("A;B\n1;2;3\n", "too few or too many"),
+        ('A;B\n1;2;"3\n4"\n', "too few or too many"),
+        ("A;B\nA;B\n1;2\n", [("1", "2"), ("A", "B")]),
+    ],
+)
+def test_one_reading_at_every_size(spark, tmp_path, cut, parts, text, expected):
+    parts(cut)
+    path = tmp_path / "a.csv"
+    path.write_bytes(text.encode())
+    if isinstance(expected, list):
+        assert raw_rows(spark, path) == expected
+    else:
+        with pytest.raises((PySparkException, Py4JJavaError, ValueError), match=expected):
+            raw_rows(spark, path)
 
 
-def test_ragged_row_stops_the_read(spark, tmp_path):
-    path = write(tmp_path / "a.csv", "A;1;2")
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        read_text_table(spark, path).collect()
+def test_ragged_rows_fail_whatever_is_selected(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("A;B;C\n1;2;3\n4;5\n6;7;8;9\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="too few or too many"):
+        read_text_table(spark, str(path)).select("A").collect()
+    with pytest.raises((PySparkException, Py4JJavaError), match="too few or too many"):
+        read_text_table(spark, str(path)).count()
 
 
-def test_other_header_stops_the_read(spark, tmp_path):
-    one = write(tmp_path / "a.csv", line("A", "1", "x"))
-    (tmp_path / "b.csv").write_text(HEADER.replace("CUP_MASTER", "ALTRO") + "\n" + line("B", "1", "x") + "\n")
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        read_text_table(spark, [one, str(tmp_path / "b.csv")]).collect()
+def test_encoding_reaches_the_search_for_open_quotes(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes('A;B\n1;"x\né"\n'.encode("latin-1"))
+    rows = read_text_table(spark, str(path), encoding="ISO-8859-1").collect()
+    assert [tuple(r) for r in rows] == [("1", "x\né")]
 
 
-@pytest.mark.parametrize("whole_up_to", [0, math.inf])
-def test_other_header_among_records_over_lines(spark, tmp_path, whole_up_to):
-    one = write(tmp_path / "a.csv", line("A", "1", '"x\ny"'))
+@pytest.mark.parametrize("cut", [False, True])
+@pytest.mark.parametrize("cell", ["x", '"x\ny"'])
+def test_other_header_stops_the_read(spark, tmp_path, cut, cell, parts):
+    parts(cut)
+    one = write(tmp_path / "a.csv", line("A", "1", cell))
     other = tmp_path / "b.csv"
-    other.write_text(HEADER.replace("CUP_MASTER", "ALTRO") + "\n" + line("B", "1", '"x\ny"') + "\n")
+    other.write_text(HEADER.replace("CUP_MASTER", "ALTRO") + "\n" + line("B", "1", cell) + "\n")
     with pytest.raises((PySparkException, Py4JJavaError), match="header"):
-        read_text_table(spark, [one, str(other)], whole_up_to=whole_up_to).collect()
+        read_text_table(spark, [one, str(other)]).collect()
+
+
+def test_many_files_to_join(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "MOST_LISTED", 1)
+    for name in "abc":
+        (tmp_path / f"{name}.csv").write_text(f'A;B\n{name};"x\ny"\n')
+    (tmp_path / "d.csv").write_text("A;B\nd;z\n")
+    assert [r[0] for r in raw_rows(spark, tmp_path)] == ["a", "b", "c", "d"]
 
 
 def test_layer_paths_and_years(spark, tmp_path):
