@@ -19,7 +19,7 @@ from publicspend.functions.measures import stable_round  # noqa: E402
 from publicspend.functions.text import comma_decimal, italian_number, lenient_int  # noqa: E402
 from publicspend.operators import procurement, quality, register, rollups, strategic  # noqa: E402
 from publicspend.operators.quality import Contract  # noqa: E402
-from publicspend.plans import compose, marts, reports  # noqa: E402
+from publicspend.plans import compose, contracts, marts, reports  # noqa: E402
 from publicspend.session import shared_folder  # noqa: E402
 from publicspend.sources import layers  # noqa: E402
 from publicspend.sources.csv_files import read_text_table  # noqa: E402
@@ -139,7 +139,7 @@ def layer_years(spark: SparkSession, folder: str) -> DataFrame:
     root = _scratch(spark, "layer_years")
     projects = Proxy(spark, folder).projects().withColumn("year", F.col("anno_decisione"))
     projects.write.mode("overwrite").partitionBy("year").parquet(root)
-    years = [row[0] for row in spark.read.parquet(root).select("year").distinct().collect()]
+    years = [int(year) for year in layers.partition_values(spark, root, "year")]
     sql = """
         SELECT anno_decisione, count(*) AS n_cup, sum(costo_progetto) AS costo
         FROM clean_input GROUP BY anno_decisione"""
@@ -155,6 +155,60 @@ def report_funding_detail(spark: SparkSession, folder: str) -> DataFrame:
     return layers.load_mart(spark, root, name, "mart_fonti", year)
 
 
+def _in_place(df: DataFrame, limit: int) -> DataFrame:
+    """The first rows of an ordered table, with the place each has in it."""
+    return df.limit(limit).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def _over_wide_in_place(
+    report: Callable[[DataFrame], DataFrame], money: str = "", limit: int = 1000
+) -> Query:
+    return _from_proxy(lambda p: _in_place(report(p.wide()), limit), money)
+
+
+def contract_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Contracts that break: an absent column, a missing table, the smoke contract, old data."""
+    proxy = Proxy(spark, folder)
+    projects, wide = proxy.projects(), proxy.wide()
+    broken = Contract(required_columns=("cup", "cig"), not_null=("cig",), min_rows=10**9)
+    absent = quality.check(projects, broken)
+    smoke = quality.check(wide, contracts.WIDE_SMOKE)
+    given = ["orders", "lineitem", "part"]
+    tables = quality.tables_check(given, [*given, "supplier_register"])
+    checks = absent.unionAll(tables).unionAll(smoke)
+    failing = checks.where(~F.col("passed"))
+    try:
+        quality.enforce(checks)
+        stopped = 0
+    except quality.QualityError as error:
+        stopped = len(str(error).split("; "))
+    enforced = failing.agg(
+        F.lit("enforced").alias("rule"),
+        F.lit("*").alias("column"),
+        F.lit(stopped).cast("bigint").alias("observed"),
+        F.count("*").alias("expected"),
+        (F.count("*") == stopped).alias("passed"),
+    )
+    return checks.unionAll(enforced)
+
+
+def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The register written in dated folders, the newest read, its rows counted after the write."""
+    base = _scratch(spark, "snapshots")
+    projects = Proxy(spark, folder).projects().select("cup", "anno_decisione")
+    for name, year in (("1996-06-30", 1996), ("1998-02-01", 1998), ("old", 1992)):
+        part = projects.where(F.col("anno_decisione").cast("int") <= year)
+        layers.write_table(part, f"{base}/{name}")
+    newest = layers.latest_snapshot(spark, base)
+    written = layers.row_count(spark, newest)
+    return spark.read.parquet(newest).agg(
+        F.lit(newest.rsplit("/", 1)[1]).alias("snapshot"),
+        F.lit(written).cast("bigint").alias("n_written"),
+        F.count("*").alias("n_read"),
+        F.max("anno_decisione").alias("last_year"),
+    )
+
+
 def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
     sql = """
         SELECT area, flag_chiuso, count(*) AS n_cup, sum(anac_importo_sal) AS importo_sal
@@ -165,7 +219,7 @@ def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
     proxy = Proxy(spark, folder)
-    wide = proxy.wide()
+    wide = layers.write_table(proxy.wide(), _scratch(spark, "quality_metrics"))
     contract = Contract(
         required_columns=("cup",),
         not_null=("cup", "anac_importo_base"),
@@ -294,6 +348,20 @@ def base_queries() -> dict[str, Query]:
         "report_project_card": _over_wide(
             partial(reports.project_card, cup="7"), oracle_texts.WIDE_MONEY
         ),
+        # cuts that cut, and orders
+        "report_sectors_top3": _over_wide_in_place(partial(reports.top_sectors, limit=3), "costo"),
+        "report_region_sectors_top2": _over_wide_in_place(
+            partial(reports.region_sectors, region="EUROPE", limit=2), "costo"
+        ),
+        "report_sector_coverage_top3": _over_wide_in_place(
+            partial(reports.sector_coverage, limit=3)
+        ),
+        "report_region_top3": _over_wide_in_place(
+            partial(reports.cost_by_region, limit=3), "costo"
+        ),
+        "report_region_cost_order": _over_wide_in_place(reports.cost_by_region, "costo"),
+        "report_status_order": _over_wide_in_place(reports.status_counts),
+        "territory_mart_order": _over_wide_in_place(marts.territory_mart, limit=10_000),
         # layers, ad-hoc SQL, quality
         "adhoc_sql": adhoc_sql,
         "layer_years": layer_years,
@@ -303,6 +371,8 @@ def base_queries() -> dict[str, Query]:
         "csv_ingest_crlf": partial(csv_ingest, line_break="\r\n"),
         "works_ingest": lambda spark, folder: _rounded(works_ingest(spark, folder), works_money),
         "quality_metrics": quality_metrics,
+        "contract_rows": contract_rows,
+        "snapshot_rows": snapshot_rows,
     }
 
 

@@ -251,6 +251,53 @@ def _counts(names: str) -> str:
     return ", ".join(f"{n(name)} AS {name}" for name in names.split())
 
 
+#: Columns and floors of the smoke contract; fixed values.
+SMOKE_COLUMNS = (
+    "cup regione comune soggetto_titolare stato_progetto costo_progetto settore_intervento area "
+    "anac_n_cig anac_n_gare anac_importo_aggiudicato pnrr_fin_pnrr pnrr_missione coe_n_progetti "
+    "flag_ombrello con_almeno_una_fonte_lab n_fonti_lab silos_costi_mln silos_macro_stato"
+)
+SMOKE_ROWS = 11_000_000
+SMOKE_FLOORS = {
+    "con_almeno_una_fonte_lab": 1_500_000,
+    "silos_costi_mln IS NOT NULL": 1_000,
+}
+
+
+def contract_text(over_wide) -> str:
+    """Rows of contracts that break, and how many broken rules stop a run."""
+    present = [
+        f"SELECT 'required_column', '{name}', 1::BIGINT, 1::BIGINT, true"
+        for name in SMOKE_COLUMNS.split()
+    ]
+    floors = [
+        f"SELECT 'at_least', '{condition}', {count_if(condition)}, {floor}, true FROM wide"
+        for condition, floor in SMOKE_FLOORS.items()
+    ]
+    tables = [
+        f"SELECT 'required_table', '{name}', {int(name != 'supplier_register')}, 1, true"
+        for name in ("orders", "lineitem", "part", "supplier_register")
+    ]
+    rows = " UNION ALL ".join(
+        [
+            *present,
+            "SELECT 'required_column', 'cup', 1, 1, true",
+            "SELECT 'required_column', 'cig', 0, 1, true",
+            "SELECT 'min_rows', '*', count(*), 1000000000, true FROM orders",
+            f"SELECT 'min_rows', '*', count(*), {SMOKE_ROWS}, true FROM wide",
+            *floors,
+            *tables,
+        ]
+    )
+    return over_wide(f"""
+        , seen(rule, "column", observed, expected, floor) AS ({rows}),
+        judged AS (SELECT rule, "column", observed, expected, observed >= expected AS passed
+            FROM seen)
+        SELECT * FROM judged
+        UNION ALL SELECT 'enforced', '*', count(*) FILTER (WHERE NOT passed),
+            count(*) FILTER (WHERE NOT passed), true FROM judged""")
+
+
 def oracle_sql() -> dict[str, str]:
     project_columns = "* REPLACE (" + rounded("costo_progetto finanziamento_progetto") + ")"
     works_money = rounded(
@@ -520,6 +567,36 @@ def oracle_sql() -> dict[str, str]:
                 if(floor, observed >= expected, observed <= expected) AS passed
             FROM seen"""),
     }
+    def in_place(name: str, order: str, limit: int = 1000) -> str:
+        return f"""
+            SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({texts[name]})
+            QUALIFY place <= {limit}"""
+
+    by_cost = "costo DESC NULLS LAST, {} NULLS LAST"
+    sectors, regions = by_cost.format("settore_intervento"), by_cost.format("regione")
+    texts |= {
+        "report_sectors_top3": in_place("report_sectors", sectors, 3),
+        "report_region_sectors_top2": in_place("report_region_sectors", sectors, 2),
+        "report_sector_coverage_top3": in_place(
+            "report_sector_coverage", "pct DESC NULLS LAST, settore_intervento", 3
+        ),
+        "report_region_top3": in_place("report_region_cost", regions, 3),
+        "report_region_cost_order": in_place("report_region_cost", regions),
+        "report_status_order": in_place("report_status", "n DESC, stato_progetto NULLS LAST"),
+        "territory_mart_order": in_place(
+            "territory_mart",
+            "costo_mld DESC NULLS LAST, regione NULLS LAST, area NULLS LAST, "
+            "settore_intervento NULLS LAST, anno_decisione NULLS LAST",
+            10_000,
+        ),
+        "snapshot_rows": text(
+            """SELECT '1998-02-01' AS snapshot, count(*) AS n_written, count(*) AS n_read,
+                max(anno_decisione) AS last_year
+            FROM projects WHERE anno_decisione::INTEGER <= 1998""",
+            ["projects"],
+        ),
+        "contract_rows": contract_text(over_wide),
+    }
     return texts | {
         "report_funding_detail": texts["funding_mart"],
         "csv_ingest_cut_files": texts["csv_ingest"],

@@ -9,7 +9,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -94,6 +94,16 @@ def missing_tables(present: list[str], required: list[str]) -> list[str]:
     return sorted(set(required) - set(present))
 
 
+def tables_check(present: list[str], required: list[str]) -> DataFrame:
+    """One row per required table: whether it is there."""
+    spark = SparkSession.active()
+    rules = [
+        _rule("required_table", name, F.lit(int(name in present)), 1, at_least=True)
+        for name in required
+    ]
+    return spark.range(1).select(_rules(rules)).select(F.inline("rules"))
+
+
 def enforce(*checks: DataFrame) -> None:
     """Raise if any rule failed. Checks hold one row per rule, so few rows come back."""
     failed = reduce(DataFrame.unionAll, checks).where(~F.col("passed")).collect()

@@ -1,10 +1,11 @@
 """The full refresh: files in, clean layer, marts, wide register, its marts.
 
-Each step writes its table, reads it back and checks it before anything uses it.
+Each step writes its table beside the old one, checks what it wrote and only then puts it in place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,25 +147,34 @@ class Refresh:
     def _mart(self, name: str, table: str, df: DataFrame) -> DataFrame:
         return self._write(table, df, mart_path(self.root, name, self.year, table))
 
-    def _write(self, table: str, df: DataFrame, path: str, lookup: str | None = None) -> DataFrame:
-        written = write_table(df, path, lookup)
+    def _write(
+        self,
+        table: str,
+        df: DataFrame,
+        path: str,
+        lookup: str | None = None,
+        more: Callable[[DataFrame], list[DataFrame]] = lambda written: [],
+    ) -> DataFrame:
+        """Publish a table that holds its contract, and ``more`` checks, in place of the old one."""
+
+        def check(written: DataFrame) -> None:
+            quality.enforce(quality.check(written, self.contracts[table]), *more(written))
+
+        written = write_table(df, path, lookup, check)
         self.rows[table] = row_count(self.spark, path)
-        quality.enforce(quality.check(written, self.contracts[table]))
         return written
 
     def _wide(self, projects: DataFrame, support: Support, hot: list | None) -> DataFrame:
-        path = clean_path(self.root, "registro_ampio", self.year)
-        wide = self._write(
+        return self._write(
             "registro_ampio",
             wide_register(projects, support, self.rules, hot),
-            path,
+            clean_path(self.root, "registro_ampio", self.year),
             lookup="cup",
+            more=lambda written: [
+                quality.check(written, self.contracts["registro_ampio_smoke"]),
+                quality.same_rows_check(projects, written),
+            ],
         )
-        quality.enforce(
-            quality.check(wide, self.contracts["registro_ampio_smoke"]),
-            quality.same_rows_check(projects, wide),
-        )
-        return wide
 
     def _wide_marts(self, wide: DataFrame) -> dict[str, DataFrame]:
         floor = self.rules.min_group

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,20 +30,33 @@ def session(app: str, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, tables: list[list[str]], growth: float = 4.0) -> int:
+def size_shuffles(
+    spark: SparkSession,
+    tables: list[list[str]],
+    growth: float = 4.0,
+    partition_bytes: int = PARTITION_BYTES,
+    most_partitions: int = MOST_PARTITIONS,
+    most_reads: int = MOST_READS,
+) -> int:
     """Set the width of scans and shuffles from the size of the largest table's files.
 
     Adaptive execution merges small partitions but does not cut even ones, so the number has
-    to suit the largest input. It is limited, as each pair of a map and a reduce task makes a
-    block to keep track of: past the limit partitions grow and sort on disk. ``growth`` is how
+    to suit the largest input: one partition for each ``partition_bytes``, where ``growth`` is how
     much files swell when unpacked.
+
+    Each pair of a map and a reduce task makes a block to keep track of, so both stop at a
+    width. The defaults suit a driver of 16 GB. Beyond ``most_partitions`` (4 TB unpacked, 1 TB of
+    files) partitions grow, and a sort writes and reads each row once more for every factor of
+    about 100 by which its partition passes the executor's sort memory: once up to 100 TB, where
+    a partition holds 13 GB. Beyond ``most_reads`` (13 TB of files) reads grow. Raise both on a
+    larger driver; results do not depend on them.
     """
     size = max(sum(_file_bytes(spark, path) for path in paths) for paths in tables)
-    wanted = min(math.ceil(size * growth / PARTITION_BYTES), MOST_PARTITIONS)
+    wanted = min(math.ceil(size * growth / partition_bytes), most_partitions)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    if size > PARTITION_BYTES * MOST_READS:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(math.ceil(size / MOST_READS)))
+    if size > partition_bytes * most_reads:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(math.ceil(size / most_reads)))
     return partitions
 
 
@@ -53,10 +68,19 @@ def _file_bytes(spark: SparkSession, path: str) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach, as the cluster names it; a temporary one in local runs."""
+    """Folder all executors reach, as the cluster names it.
+
+    Where none is named, local runs share a temporary one, which goes when the process ends.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="publicspend-")
+    if "folder" not in _LOCAL:
+        _LOCAL["folder"] = tempfile.mkdtemp(prefix="publicspend-")
+        atexit.register(shutil.rmtree, _LOCAL["folder"], ignore_errors=True)
+    return _LOCAL["folder"]
+
+
+_LOCAL: dict[str, str] = {}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+STAGED, REPLACED = ".staged", ".replaced"
+
 
 def clean_path(root: str, name: str, year: int) -> str:
     return f"{root}/data/clean/{name}/{year}/{name}_{year}_clean.parquet"
@@ -19,20 +23,49 @@ def raw_path(root: str, name: str, year: int) -> str:
     return f"{root}/data/raw/{name}/{year}/{name}.parquet"
 
 
-def write_table(df: DataFrame, path: str, lookup: str | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame,
+    path: str,
+    lookup: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
     """Replace the table at ``path`` and return it as read back.
 
     What follows reads the files, so a lost executor never recomputes past this point.
     ``lookup`` names a key that single rows are fetched by: a bloom filter on it lets a
-    point query skip almost every row group.
+    point query skip almost every row group. With a ``check`` the table is written beside
+    ``path`` and takes its place only if the check, given the written table, raises nothing.
     """
+    target = f"{path}{STAGED}" if check else path
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if lookup:
         writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
-    writer.parquet(path)
+    writer.parquet(target)
+    if check:
+        check(df.sparkSession.read.parquet(target))
+        replace_table(df.sparkSession, target, path)
     return df.sparkSession.read.parquet(path)
 
 
+def replace_table(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the staged table in the place of the one at ``path``, which is kept until then.
+
+    On HDFS and local disks both steps are renames. If the second one fails, the old table is put
+    back.
+    """
+    new, old, place = (_hadoop_path(spark, p) for p in (staged, f"{path}{REPLACED}", path))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"{path} can not be moved")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"{staged} can not be moved to {path}")
+    files.delete(old, True)
+
+
 def row_count(spark: SparkSession, path: str) -> int:
     """Rows in a written table, from the Parquet footers."""
     return spark.read.parquet(path).count()
@@ -66,15 +99,37 @@ def query_tables(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFram
     return spark.sql(sql)
 
 
-def latest_snapshot(spark: SparkSession, base: str) -> str:
-    """The child directory of ``base`` that sorts last, as dated snapshot names do."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+def snapshots(spark: SparkSession, base: str) -> list[str]:
+    """The names of the child directories of ``base`` that are dates, in order."""
+    path = _hadoop_path(spark, base)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(
-        s.getPath().getName()
-        for s in files.listStatus(path)
-        if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))
-    )
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    return sorted(name for name in names if _is_date(name))
+
+
+def latest_snapshot(spark: SparkSession, base: str) -> str:
+    """The child directory of ``base`` with the latest date; others are passed over."""
+    names = snapshots(spark, base)
     if not names:
-        raise FileNotFoundError(f"no snapshot below {base}")
+        raise FileNotFoundError(f"no dated snapshot below {base}")
     return f"{base.rstrip('/')}/{names[-1]}"
+
+
+def partition_values(spark: SparkSession, base: str, column: str) -> list[str]:
+    """The values that a table is partitioned by, from its folders."""
+    path = _hadoop_path(spark, base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    start = f"{column}="
+    return sorted(name.removeprefix(start) for name in names if name.startswith(start))
+
+
+def _is_date(name: str) -> bool:
+    try:
+        return dt.date.fromisoformat(name).isoformat() == name
+    except ValueError:
+        return False
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from publicspend.operators import register, strategic
-from publicspend.operators.joins import hot_keys
 from publicspend.plans.compose import Support, register_with_support, wide_register
 from publicspend.rules import MACRO_STATES, Rules
 
@@ -268,12 +267,10 @@ class Proxy:
         )
 
     def wide(self) -> DataFrame:
-        projects = self.projects()
-        hot = hot_keys(projects, "cup")
-        return wide_register(projects, self.support(), PROXY_RULES, hot)
+        """The wide register; order numbers are unique, so it has no hot keys to look for."""
+        return wide_register(self.projects(), self.support(), PROXY_RULES)
 
     def register_with_support(self) -> DataFrame:
-        projects = self.projects()
         return register_with_support(
-            projects, self.locations(), self.funding(), PROXY_RULES, hot_keys(projects, "cup")
+            self.projects(), self.locations(), self.funding(), PROXY_RULES
         )

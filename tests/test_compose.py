@@ -115,7 +115,7 @@ def test_hot_keys_are_bounded_and_include_null(spark):
 
 
 def test_many_hot_keys_among_many_others(spark):
-    """100 keys of 0.5 % each and 50,000 others, far more keys than the sketch tracks."""
+    """100 keys of 0.5 % each and 50,000 others."""
     i = F.col("id")
     keys = F.when(i % 2 == 0, F.concat(F.lit("h"), i / 2 % 100)).otherwise(F.concat(F.lit("k"), i))
     found = hot_keys(spark.range(100_000).select(keys.alias("cup")), "cup")

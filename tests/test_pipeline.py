@@ -64,6 +64,26 @@ def test_broken_contract_stops_the_run(spark, inputs, tmp_path):
     assert not (tmp_path / "data" / "clean" / "registro_ampio").exists()
 
 
+def test_broken_contract_keeps_the_table_before(spark, inputs, tmp_path):
+    path = layers.clean_path(str(tmp_path), "fonti", YEAR)
+    layers.write_table(spark.createDataFrame([("old",)], "cup string"), path)
+    contracts = small(CONTRACTS) | {"fonti": Contract(min_rows=10**9)}
+    with pytest.raises(QualityError, match="min_rows"):
+        Refresh(spark, str(tmp_path), YEAR, PROXY_RULES, contracts).run(inputs, WORKS_YEAR)
+    assert [row.cup for row in spark.read.parquet(path).collect()] == ["old"]
+
+
+def test_checked_table_replaces_the_one_before(spark, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    seen = []
+    for name in ("first", "second"):
+        df = spark.createDataFrame([(name,)], "cup string")
+        found = layers.write_table(df, path, check=lambda t: seen.append(t.first().cup))
+        assert [row.cup for row in found.collect()] == [name]
+    assert seen == ["first", "second"]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t.parquet"]
+
+
 def test_missing_external_table(spark, inputs, tmp_path):
     partial = dataclasses.replace(inputs, external={})
     with pytest.raises(QualityError, match="awards"):

@@ -6,7 +6,6 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from publicspend.operators import register
-from publicspend import session as settings
 from publicspend.session import size_shuffles
 from publicspend.sources import csv_files, layers
 from publicspend.sources.csv_files import join_lines, read_text_table
@@ -178,7 +177,7 @@ def test_mart_and_snapshot(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "v int")
     layers.write_table(df, layers.mart_path(str(tmp_path), "n", 2026, "t"))
     assert layers.load_mart(spark, str(tmp_path), "n", "t", 2026).first().v == 1
-    for name in ("2026-01-31", "2026-02-01", "_temporary"):
+    for name in ("2026-01-31", "2026-02-01", "_temporary", "old"):
         (tmp_path / "snap" / name).mkdir(parents=True)
     assert layers.latest_snapshot(spark, str(tmp_path / "snap")).endswith("/2026-02-01")
     with pytest.raises(FileNotFoundError):
@@ -193,13 +192,12 @@ def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
     tables = [[f"{tmp_path}/a"], [f"{tmp_path}/b"], [f"{tmp_path}/none*"]]
     try:
         assert size_shuffles(spark, tables) == int(before[names[0]])
-        monkeypatch.setattr(settings, "PARTITION_BYTES", 100)
-        assert size_shuffles(spark, tables) == 40
-        monkeypatch.setattr(settings, "MOST_PARTITIONS", 50)
-        assert size_shuffles(spark, [[f"{tmp_path}/?"]], growth=99) == 50
+        small = {"partition_bytes": 100}
+        assert size_shuffles(spark, tables, **small) == 40
+        wide = size_shuffles(spark, [[f"{tmp_path}/?"]], growth=99, most_partitions=50, **small)
+        assert wide == 50
         assert spark.conf.get(names[1]) == before[names[1]]
-        monkeypatch.setattr(settings, "MOST_READS", 4)
-        size_shuffles(spark, tables)
+        size_shuffles(spark, tables, most_partitions=50, most_reads=4, **small)
         assert spark.conf.get(names[1]) == "250"
     finally:
         for name, value in before.items():
