@@ -29,7 +29,7 @@ from publicspend.llm.common import slices, stored, take
 from publicspend.llm.components import components
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 200_000
 
 
 @dataclass(frozen=True)
@@ -131,7 +131,7 @@ def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
                     size += len(found)
             if len(seen) > _WORDS_KEPT:
                 seen.clear()
-            if size > 4_000_000:
+            if size > 2_000_000:
                 count()
                 size = 0
             blank = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())
@@ -154,7 +154,9 @@ def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
             names,
         )
 
-    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, schema)
+    # a partition must hold many documents to see what is common
+    wide = docs.coalesce(4 * docs.sparkSession.sparkContext.defaultParallelism)
+    return wide.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 def sketch_ranks(described: DataFrame, bits: int) -> np.ndarray:
@@ -221,7 +223,7 @@ def prefix_rows(docs: DataFrame, ranks: np.ndarray, rules: JoinRules) -> DataFra
 
 
 def involved_sets(docs: DataFrame, ranks: np.ndarray, rules: JoinRules) -> DataFrame:
-    """Whole sets, and their prefixes under all orders, of the given documents."""
+    """Whole sets, and their prefixes under the other orders, of the given documents."""
     width, bits = rules.words, rules.sketch_bits
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     names = ["set_key", "node", "n", "found", "prefixes"]
@@ -241,7 +243,7 @@ def involved_sets(docs: DataFrame, ranks: np.ndarray, rules: JoinRules) -> DataF
             prefixes = [
                 [
                     in_order(s, ranks, bits, k, rules.prefix(len(s))).view(np.int64)
-                    for k in range(rules.orders)
+                    for k in range(1, rules.orders)
                 ]
                 for s in sets
             ]
@@ -281,7 +283,7 @@ def _sides(pairs: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
 
 
 def filtered(pairs: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
-    """The pairs that pass under every order.
+    """The pairs that pass under the other orders as well.
 
     What two sets share beyond their common prefix tokens lies behind the prefix of one of them.
     So the prefixes must share enough tokens for a link, not just one.
@@ -290,7 +292,7 @@ def filtered(pairs: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
     total = F.col("n_a").cast("bigint") + F.col("n_b")
     most = F.greatest("n_a", "n_b").cast("bigint")
     need = _share_up(total, rules.percent, 100 + rules.percent) - _share_up(most, rules.percent, 100)
-    for k in range(rules.orders):
+    for k in range(rules.orders - 1):
         common = F.array_intersect(F.col("prefixes_a")[k], F.col("prefixes_b")[k])
         met = met.where(F.size(common) >= need + 1)
     return met.select("a", "b").distinct()
