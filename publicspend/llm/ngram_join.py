@@ -45,8 +45,8 @@ class JoinRules:
     words: int = 5
     percent: int = 80
     orders: int = 3
-    rounds: int = 3
-    pairs: int = 32
+    rounds: int = 4
+    pairs: int = 4
     broadcast_pairs: int = 500_000
     sketch_bits: int = 18
 
