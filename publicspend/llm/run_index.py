@@ -329,35 +329,58 @@ def repeated_parts(texts: list[bytes], copied: list[bool], length: int) -> list[
     return marks
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The contexts of each block key: (context, bytes, times)."""
+    group: list[tuple] = []
+    previous = None
+    for batch in batches:
+        for block, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if group and block != previous:
+                yield group
+                group = []
+            group.append(tuple(row))
+            previous = block
+    if group:
+        yield group
+
+
+def _indexed(waiting: list[tuple], rules: RepeatRules) -> list[tuple]:
+    """(context, marks) by one index over all given contexts."""
+    keys, texts, times = zip(*waiting, strict=True)
+    marks = repeated_parts(list(texts), [n > 1 for n in times], rules.length)
+    return [(k, m) for k, m in zip(keys, marks, strict=True) if m]
+
+
 def _marks(contexts: DataFrame, rules: RepeatRules) -> DataFrame:
     """(context, marks) of contexts that hold a repeated string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-        size, previous = 0, None
-
-        def flush() -> pa.RecordBatch:
-            keys, texts, copied = zip(*waiting, strict=True)
-            marks = repeated_parts(list(texts), list(copied), rules.length)
-            rows = [(k, m) for k, m in zip(keys, marks, strict=True) if m]
-            kind = pa.list_(pa.list_(pa.int32()))
+        kind = pa.list_(pa.list_(pa.int32()))
+
+        def marked(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.binary()), pa.array([m for _, m in rows], kind)],
                 ["context", "marks"],
             )
 
-        for batch in batches:
-            for block, key, part, times in zip(
-                *(batch.column(i).to_pylist() for i in range(4)), strict=True
-            ):
-                if block != previous and size >= rules.block:
-                    yield flush()
-                    waiting, size = [], 0
-                waiting.append((key, part, times > 1))
-                size += len(part)
-                previous = block
-        if waiting:
-            yield flush()
+        waiting: list[tuple] = []  # contexts that share their anchor with others
+        alone: list[tuple] = []  # of these all places are alike
+        size = 0
+        for group in _groups(batches):
+            if len(group) == 1:
+                key, part, times = group[0]
+                if times > 1:
+                    alone.append((key, [[0, len(part)]]))
+            else:
+                waiting += group
+                size += sum(len(part) for _, part, _ in group)
+            if size >= rules.block:
+                yield marked(_indexed(waiting, rules))
+                waiting, size = [], 0
+            if len(alone) > 10_000:
+                yield marked(alone)
+                alone = []
+        yield marked(alone + (_indexed(waiting, rules) if waiting else []))
 
     dealt = contexts.repartition("block_key").sortWithinPartitions("block_key")
     return dealt.select("block_key", "context", "bytes", "times").mapInArrow(

@@ -358,9 +358,8 @@ def sanitised_documents(
         ]
         columns = list(batch.columns)[:width]
         columns[text] = pa.array(clean, columns[text].type)
-        columns[chars] = pa.array([value and len(value) for value in clean], pa.int64()).cast(
-            columns[chars].type
-        )
+        sizes = [None if value is None else len(value) for value in clean]
+        columns[chars] = pa.array(sizes, pa.int64()).cast(columns[chars].type)
         return pa.RecordBatch.from_arrays(columns, batch.schema.names[:width])
 
     return mapped(rows, "text", docs.schema, run)

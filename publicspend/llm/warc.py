@@ -379,6 +379,9 @@ class WarcDataSource(DataSource):
 
     Options: ``path``; to read ``payload`` and ``splitBytes``; to write ``compression``
     (``none`` or ``gzip``, a member for each record).
+
+    Load anew for each query: Spark keeps the filters that were pushed down with the loaded table,
+    and a later query over the same DataFrame would meet them again.
     """
 
     @classmethod
