@@ -139,7 +139,7 @@ def transfer(model: Pieces, text: str, left: int, right: int, first: bool, last:
     """
     reach = model.longest
     places = [p for p in range(left + reach, right - reach + 1) if model.border(text, p)][:1]
-    starts = [left] if first else range(max(0, left - reach + 1), left)
+    starts = [left] if first else range(max(0, left - reach), left)
     ends = [right] if last else range(right, min(len(text), right + reach - 1) + 1)
     if places:
         head = places[0]
