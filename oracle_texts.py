@@ -73,12 +73,12 @@ STEPS = {
     "plan_tenders": """
         SELECT user_id::VARCHAR AS cup, count(*) AS pnrr_n_gare,
             sum(value) AS pnrr_importo_aggiudicato
-        FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
+        FROM events WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 GROUP BY user_id""",
     "plan_paid": """
         SELECT user_id::VARCHAR AS cup,
             sum(if(event_type = 'view', 0, value)) AS pag_pagato_pnrr,
             sum(value) AS pag_pagato_totale
-        FROM events GROUP BY user_id""",
+        FROM events WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 GROUP BY user_id""",
     "coh": """
         SELECT doc_id::VARCHAR AS cup, count(*) AS coe_n_progetti,
             sum(n_chars)::DOUBLE AS coe_finanz_tot_pubblico
@@ -134,7 +134,7 @@ STEPS = {
         SELECT l_partkey AS tender,
             sum(l_extendedprice + l_tax + l_discount)
                 FILTER (WHERE l_linenumber = 1 AND l_returnflag = 'A') AS base,
-            sum(l_extendedprice + l_tax + l_discount)
+            sum(if(l_suppkey % 3 = 0, 0, l_extendedprice + l_tax + l_discount))
                 FILTER (WHERE l_linenumber = 3 AND l_linestatus = 'F') AS final,
             count(DISTINCT CASE l_linenumber WHEN 4 THEN l_suppkey END) AS variants,
             bool_or(l_linenumber = 4 OR (l_linenumber = 1 AND l_returnflag = 'A')

@@ -46,6 +46,12 @@ def italian_text(amount: Column) -> Column:
     return F.translate(F.format_number(amount, 2), ".,", ",.")
 
 
+def _with_gaps(key: str) -> Column:
+    """The key as text; blank in one of eleven events, NULL in one of thirteen others."""
+    number = F.col("event_id")
+    return F.when(number % 11 == 0, "  ").when(number % 13 != 0, F.col(key).cast("string"))
+
+
 class Proxy:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -202,21 +208,24 @@ class Proxy:
         )
 
     def cost_events(self) -> DataFrame:
+        """Final costs of a third of the suppliers are zero."""
         line = F.col("l_linenumber")
         kind = (
             F.when((line == 1) & (F.col("l_returnflag") == "A"), PROXY_RULES.base_event)
             .when((line == 3) & (F.col("l_linestatus") == "F"), PROXY_RULES.final_event)
             .when(line == 4, PROXY_RULES.variant_event)
         )
+        zero = (kind == PROXY_RULES.final_event) & (F.col("l_suppkey") % 3 == 0)
+        no_cost = F.coalesce(zero, F.lit(False))
         return self.table("lineitem").select(
             F.col("l_partkey").cast("string").alias("cig"),
             F.col("l_suppkey").alias("id_aggiudicazione"),
             F.col("l_shipdate").alias("data"),
             kind.alias("descrizione_evento"),
             F.col("l_suppkey").cast("string").alias("dettaglio_evento"),
-            F.col("l_extendedprice").alias("importo_lavori"),
-            F.nullif(F.col("l_tax"), F.lit(0.0)).alias("importo_servizi"),
-            F.nullif(F.col("l_discount"), F.lit(0.0)).alias("importo_forniture"),
+            F.when(no_cost, 0.0).otherwise(F.col("l_extendedprice")).alias("importo_lavori"),
+            F.when(~no_cost, F.nullif("l_tax", F.lit(0.0))).alias("importo_servizi"),
+            F.when(~no_cost, F.nullif("l_discount", F.lit(0.0))).alias("importo_forniture"),
         )
 
     def recovery_projects(self) -> DataFrame:
@@ -229,18 +238,13 @@ class Proxy:
         )
 
     def recovery_tenders(self) -> DataFrame:
-        return (
-            self.table("events")
-            .where(F.col("event_type") == "purchase")
-            .select(
-                F.col("user_id").cast("string").alias("cup"),
-                F.col("value").alias("importo_aggiudicazione"),
-            )
+        return self.table("events").select(
+            _with_gaps("user_id").alias("cup"), F.col("value").alias("importo_aggiudicazione")
         )
 
     def recovery_payments(self) -> DataFrame:
         return self.table("events").select(
-            F.col("user_id").cast("string").alias("cup"),
+            _with_gaps("user_id").alias("cup"),
             F.when(F.col("event_type") != "view", F.col("value")).alias("pagamento_pnrr"),
             F.col("value").alias("pagamento_totale"),
         )

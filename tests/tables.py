@@ -55,6 +55,7 @@ def by_key(df, key="cup"):
     return {row[key]: row for row in df.collect()}
 
 
+# Rows and expected figures of the published example.
 PROCUREMENT = {
     "tender_pairs": [
         ("CIG_A", "CUP_REAL"),
