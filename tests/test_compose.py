@@ -122,6 +122,19 @@ def test_many_hot_keys_among_many_others(spark):
     assert set(found) == {f"h{float(n)}" for n in range(100)}
 
 
+def test_no_job_runs_while_the_register_is_composed(spark, tiny):
+    proxy = Proxy(spark, tiny)
+    for name in "region nation customer supplier part orders lineitem events documents".split():
+        proxy.table(name)
+    spark.sparkContext.setJobGroup("composing", "")
+    try:
+        proxy.wide()
+        proxy.register_with_support()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("composing")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
 def test_is_hot_splits_in_two(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
 
