@@ -9,32 +9,32 @@ from publicspend.llm.common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node``, ``label`` (the least node of its component) for links ``a``, ``b``.
+    """``node`` and ``label``, one of the nodes of its component, for links ``a``, ``b``.
 
-    Each round takes the least label among a node's neighbours and then that label's own label,
-    so chains halve. All of it is joins and sums on stored tables; nothing reaches the driver
-    but the count of changes. Links may repeat or loop.
+    Each round every node takes its least neighbour's least neighbour, and the links are drawn
+    anew between what was taken; those that became loops go. So the links melt away in a few
+    rounds, and each is touched little more than once. All of it is joins and sums on stored
+    tables. Links may repeat or loop.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).distinct()
-    both = stored(both, "links")
-    labels = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")),
-        "labels",
-    )
+    apart = links.where("a <> b")
+    edges = stored(apart.select("a", "b").union(apart.select("b", "a")).distinct(), "links")
+    labels = None
     while True:
-        near = (
-            both.join(labels, F.col("b") == F.col("node"))
-            .groupBy(F.col("a").alias("at"))
-            .agg(F.min("label").alias("least"))
+        near = edges.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("up"))
+        above = near.select(F.col("node").alias("at"), F.col("up").alias("root"))
+        roots = stored(
+            near.join(above, F.col("up") == F.col("at")).select("node", "root"), "roots"
         )
-        own = labels.select(F.col("node").alias("root"), F.col("label").alias("above"))
-        moved = stored(
-            labels.join(near, F.col("node") == F.col("at"))
-            .withColumn("nearest", F.least("label", "least"))
-            .join(own, F.col("nearest") == F.col("root"))
-            .select("node", F.col("label").alias("old"), F.least("nearest", "above").alias("label")),
-            "labels",
-        )
-        labels = moved.select("node", "label")
-        if moved.where("label <> old").isEmpty():
-            return labels
+        if labels is None:
+            labels = roots.withColumnRenamed("root", "label")
+        else:
+            moved = roots.withColumnRenamed("node", "of")
+            labels = labels.join(moved, F.col("label") == F.col("of"), "left").select(
+                "node", F.coalesce("root", "label").alias("label")
+            )
+        left = roots.select(F.col("node").alias("a"), F.col("root").alias("c"))
+        right = roots.select(F.col("node").alias("b"), F.col("root").alias("d"))
+        drawn = edges.join(left, "a").join(right, "b").where("c <> d")
+        edges = stored(drawn.select(F.col("c").alias("a"), F.col("d").alias("b")).distinct(), "links")
+        if edges.isEmpty():
+            return stored(labels, "labels")

@@ -408,7 +408,7 @@ def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFr
     same = docs["doc_id"].eqNullSafe(firsts["first_id"])
     sets = stored(involved_sets(docs.join(firsts, same, "left_semi"), ranks, rules), "sets")
     labels = spark.createDataFrame([], "set_key binary, label binary")
-    links, tried, share = [], [], 0.0
+    tried, share = [], 0.0
     for turn in range(rules.rounds + 1):
         if share >= 1:
             break
@@ -428,11 +428,8 @@ def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFr
         found = stored(verified(stored(filtered(pairs, sets, rules), "passed"), sets, rules), "links")
         if found.isEmpty():
             continue
-        links.append(found)
-        together = links[0]
-        for more in links[1:]:
-            together = together.union(more)
-        labels = components(together).withColumnRenamed("node", "set_key")
+        known = labels.select(F.col("set_key").alias("a"), F.col("label").alias("b"))
+        labels = components(found.union(known)).withColumnRenamed("node", "set_key")
     return labels
 
 
