@@ -174,7 +174,8 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, rules: Reputation) ->
     suffixes = _shrunk(suffixes.withColumn("_all", F.lit(0)), whole, "_all", rules)
     domains = _shrunk(domains, suffixes, "suffix", rules)
     judged = _shrunk(named, domains, "domain", rules)
-    spread = F.sqrt(F.col("a") * F.col("b") / (F.pow(F.col("a") + F.col("b"), 2) * (F.col("a") + F.col("b") + 1)))
+    a, b = F.col("a"), F.col("b")
+    spread = F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))
     return judged.select("host", "mean", (F.col("mean") - rules.deviations * spread).alias("lower"))
 
 
