@@ -247,22 +247,25 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     taken = mix(docs, rules)
     share = F.round(F.sum("taken") / F.sum("size")).cast("int")
     times = taken.groupBy("doc_id", "source", "size").agg(
-        F.when(F.col("size") > 0, share).otherwise(1).alias("times")
+        F.when(F.col("size") > 0, share).otherwise(1).alias("_llm_times")
     )
     keyed = times.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "times"
+        F.col("doc_id").alias("_llm_id"),
+        F.col("source").alias("_llm_source"),
+        F.col("size").alias("_llm_size"),
+        "_llm_times",
     )
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counted = pa.array(count_words(batch.column("text")))
-        return batch.append_column("_words", counted)
+        return batch.append_column("_llm_words", counted)
 
-    schema = StructType([*docs.schema.fields, StructField("_words", LongType())])
+    schema = StructType([*docs.schema.fields, StructField("_llm_words", LongType())])
     met = mapped(docs, "text", schema, run).join(
         keyed,
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size")),
+        F.col("doc_id").eqNullSafe(F.col("_llm_id"))
+        & F.col("source").eqNullSafe(F.col("_llm_source"))
+        & (F.col("_llm_words") == F.col("_llm_size")),
     )
-    repeated = met.withColumn("_turn", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
+    repeated = met.withColumn("_llm_turn", F.explode(F.array_repeat(F.lit(0), F.col("_llm_times"))))
     return repeated.select(*docs.columns)

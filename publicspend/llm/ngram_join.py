@@ -487,12 +487,12 @@ def first_of_each_group(docs: DataFrame, rules: JoinRules = JoinRules()) -> Data
     """
     members = _members(take(docs, doc_id="doc_id", text="text"), rules)
     stay = members.where("stays").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+        F.col("doc_id").alias("_llm_id"), F.col("text_hash").alias("_llm_hash")
     )
-    hashed = docs.withColumn("_own", F.xxhash64("text"))
-    met = hashed.join(
-        stay.distinct(), hashed["doc_id"].eqNullSafe(stay["_id"]) & (F.col("_own") == stay["_hash"])
-    )
-    copy = F.row_number().over(Window.partitionBy("_id", "_own").orderBy("_own"))
+    hashed = docs.withColumn("_llm_own", F.xxhash64("text"))
+    same = hashed["doc_id"].eqNullSafe(F.col("_llm_id")) & (F.col("_llm_own") == F.col("_llm_hash"))
+    met = hashed.join(stay.distinct(), same)
+    copy = F.row_number().over(Window.partitionBy("_llm_id", "_llm_own").orderBy("_llm_own"))
     blank = ~F.coalesce(F.col("text").rlike("[^ \\t-\\r]"), F.lit(False))
-    return met.withColumn("_copy", copy).where(blank | (F.col("_copy") == 1)).select(*docs.columns)
+    kept = met.withColumn("_llm_copy", copy).where(blank | (F.col("_llm_copy") == 1))
+    return kept.select(*docs.columns)

@@ -255,7 +255,7 @@ def spans_of(text: str, terms: frozenset[str]) -> list[Span]:
 
 
 def _term_lists(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(of_id, terms): the disclosing terms that the documents of an id hold."""
+    """(_llm_of_id, terms): the disclosing terms that the documents of an id hold."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, found = [], []
@@ -264,13 +264,13 @@ def _term_lists(docs: DataFrame, terms: DataFrame) -> DataFrame:
             ids += [doc_id] * len(here)
             found += here
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["of_id", "term"]
+            [pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["_llm_of_id", "term"]
         )
 
-    held = mapped(docs, "text", "of_id bigint, term string", run)
+    held = mapped(docs, "text", "_llm_of_id bigint, term string", run)
     return (
         held.join(terms, "term", "left_semi")
-        .groupBy("of_id")
+        .groupBy("_llm_of_id")
         .agg(F.collect_set("term").alias("terms"))
     )
 
@@ -303,7 +303,7 @@ def find_spans(
     shared, terms = _known_terms(rows, rules, broadcast_terms)
     if shared is None:
         lists = _term_lists(rows, terms)
-        same = rows["doc_id"].eqNullSafe(lists["of_id"])
+        same = rows["doc_id"].eqNullSafe(lists["_llm_of_id"])
         rows = rows.join(lists, same, "left").select("doc_id", "text", "terms")
     return _spans(rows, shared)
 
@@ -346,8 +346,8 @@ def sanitised_documents(
     rows = docs
     if shared is None:
         lists = _term_lists(take(docs, doc_id="doc_id", text="text"), terms)
-        same = docs["doc_id"].eqNullSafe(lists["of_id"])
-        rows = docs.join(lists, same, "left").drop("of_id")
+        same = docs["doc_id"].eqNullSafe(lists["_llm_of_id"])
+        rows = docs.join(lists, same, "left").drop("_llm_of_id")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(text).to_pylist()

@@ -288,9 +288,12 @@ def test_schedule_is_even(spark):
 
 
 def test_mixed_documents(spark, documents, awkward):
-    mixed = mixing.mixed_documents(documents.select("doc_id", "text", "source"))
-    assert mixed.columns == ["doc_id", "text", "source"]
-    counts = Counter(tuple(r) for r in mixed.collect())
+    clashing = documents.select("doc_id", "text", "source").withColumns(
+        {name: F.lit(name) for name in ("_id", "times", "_words", "taken", "of_id")}
+    )
+    mixed = mixing.mixed_documents(clashing)
+    assert mixed.columns == clashing.columns
+    counts = Counter(tuple(r)[:3] for r in mixed.collect())
     assert set(counts) <= {(i, t, s) for i, t, s in awkward}
     assert counts[4, None, "b"] == 1
     mine = Counter((i, t, s) for i, t, s in awkward)
