@@ -40,7 +40,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from publicspend.llm.common import scratch, take
+from publicspend.llm.common import scratch, stored, take
 
 VERSION = b"WARC/1.1"
 END = b"\r\n\r\n"
@@ -423,13 +423,14 @@ def records_of(
     known = rows.select("page_id", "url", payload.alias("payload")).withColumns(
         {"sha1": F.unhex(F.sha1("payload")), "payload_length": F.length("payload").cast("bigint")}
     )
-    groups = (
+    copied = (
         known.where(F.col("payload_length") >= least_bytes)
         .groupBy("sha1", "payload_length")
         .agg(F.max("page_id").alias("first_id"), F.count("*").alias("copies"))
         .where("copies > 1")
         .select(F.col("sha1").alias("_sha1"), F.col("payload_length").alias("_length"), "first_id")
     )
+    groups = stored(copied, "copies")  # Spark then knows if they are few, and payloads stay in place
     same = (F.col("sha1") == F.col("_sha1")) & (F.col("payload_length") == F.col("_length"))
     met = known.join(groups, same, "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
