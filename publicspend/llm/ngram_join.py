@@ -8,8 +8,8 @@ uses another hash. The sketch decides what is cheap, never what is right.
 
 Copies are not expanded into pairs. Equal sets collapse by hash before they meet. In a bucket of
 sets that share a prefix shingle, each is compared with the smallest; what links becomes a
-component, and only sets in different components are compared further: with a drawn share of the
-others that keeps the pairs in proportion to the rows, again and again, and in the end with all.
+component, and only sets in different components are compared further: with a few drawn others
+of the bucket, again and again, and in the end with all.
 A comparison inside a component could not change it.
 """
 
@@ -36,20 +36,23 @@ _WORDS_KEPT = 200_000
 class JoinRules:
     """``words`` in a shingle, least similarity in ``percent``, token ``orders``.
 
-    In each of ``rounds`` rounds, ``pairs`` pairs for each bucket row are looked at; what is left
-    after them is compared as a whole. Up to ``broadcast_pairs`` pairs to verify are handed to
-    all tasks, 16 bytes each. ``sketch_bits``: the sketch has 2 ** sketch_bits counters,
-    whatever the corpus holds.
+    In the first of ``rounds`` rounds a bucket row meets about ``pairs`` others, in each further
+    one four times as many, in the last one all.
+    Up to ``broadcast_pairs`` pairs to verify are handed to all tasks, 16 bytes each.
+    ``sketch_bits``: the sketch has 2 ** sketch_bits counters, whatever the corpus holds.
     """
 
     words: int = 5
     percent: int = 80
     orders: int = 3
     rounds: int = 4
-    pairs: int = 4
+    pairs: int = 16
     broadcast_pairs: int = 500_000
     sketch_bits: int = 18
 
+    def drawn(self, turn: int) -> int:
+        return self.pairs * 4 ** (turn - 1)
+
     def prefix(self, n: int) -> int:
         return n - -(-self.percent * n // 100) + 1
 
@@ -336,12 +339,17 @@ def live_buckets(rows: DataFrame, rules: JoinRules) -> DataFrame:
 
 
 def open_buckets(live: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of buckets that still hold sets of different components, with their component."""
+    """Rows of buckets that still hold sets of different components.
+
+    With their component, and how many rows of the bucket are ``leading``.
+    """
     rows = live.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", F.col("node").cast("string").cast("binary"))
     )
-    spread = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return rows.join(spread.where("low <> high").select("token"), "token")
+    buckets = rows.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count_if("leads").alias("leading")
+    )
+    return rows.join(buckets.where("low <> high").select("token", "leading"), "token")
 
 
 def _against(smaller: DataFrame, rows: DataFrame, rules: JoinRules) -> DataFrame:
@@ -374,22 +382,12 @@ def first_pairs(rows: DataFrame, rules: JoinRules) -> DataFrame:
     return votes.groupBy("b").agg(best).select("a", "b")
 
 
-def drawn_pairs(rows: DataFrame, share: float, turn: int, rules: JoinRules) -> DataFrame:
-    """Pairs of which the smaller set is among a drawn share of the sets."""
+def drawn_pairs(rows: DataFrame, turn: int, rules: JoinRules) -> DataFrame:
+    """Rows against a number of drawn leading rows of their bucket, in the last round all."""
     parts = 1 << 30
-    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(parts)) < int(share * parts)
-    return _against(rows if share >= 1 else rows.where(drawn), rows, rules).distinct()
-
-
-def pairs_left(rows: DataFrame) -> int:
-    """How many pairs of a leading row and another of a different component there may be."""
-    parts = rows.groupBy("token", "label").agg(
-        F.count("*").cast("double").alias("n"), F.count_if("leads").cast("double").alias("leading")
-    )
-    buckets = parts.groupBy("token").agg(
-        (F.sum("n") * F.sum("leading") - F.sum(F.col("n") * F.col("leading"))).alias("pairs")
-    )
-    return int(buckets.agg(F.sum("pairs")).first()[0] or 0)
+    share = F.lit(1.0) if turn == rules.rounds else rules.drawn(turn) / F.col("leading")
+    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(parts)) < share * parts
+    return _against(rows.where(drawn), rows, rules).distinct()
 
 
 def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFrame:
@@ -408,19 +406,18 @@ def link_sets(docs: DataFrame, described: DataFrame, rules: JoinRules) -> DataFr
     same = docs["doc_id"].eqNullSafe(firsts["first_id"])
     sets = stored(involved_sets(docs.join(firsts, same, "left_semi"), ranks, rules), "sets")
     labels = spark.createDataFrame([], "set_key binary, label binary")
-    tried, share = [], 0.0
+    tried = []
     for turn in range(rules.rounds + 1):
-        if share >= 1:
-            break
         if turn == 0:
-            rows = live.withColumn("label", F.col("node"))
-            pairs = first_pairs(rows, rules)
+            pairs = first_pairs(live.withColumn("label", F.col("node")), rules)
         else:
             by_node = sets.select("set_key", "node").join(labels, "set_key").select("node", "label")
             rows = stored(open_buckets(live, by_node.distinct()), "open")
-            left = max(1, pairs_left(rows))
-            share = 1.0 if turn == rules.rounds else rules.pairs * live.count() / left
-            pairs = drawn_pairs(rows, share, turn, rules)
+            if rows.isEmpty():
+                break
+            pairs = drawn_pairs(rows, turn, rules)
+            # in smaller buckets every leading row was drawn
+            live = rows.where(F.col("leading") > rules.drawn(turn)).drop("label", "leading")
         for earlier in tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")

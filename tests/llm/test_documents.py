@@ -74,7 +74,7 @@ def near_copies(rng):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("rules", [{}, {"pairs": 1, "rounds": 2, "sketch_bits": 4, "broadcast_pairs": 0}])
+@pytest.mark.parametrize("rules", [{}, {"pairs": 1, "rounds": 2, "sketch_bits": 4, "broadcast_pairs": 0}, {"rounds": 1}])
 def test_near_duplicates(spark, seed, rules):
     rows = near_copies(random.Random(seed))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
