@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from publicspend.llm.common import mapped, running_start, stored, take, texts_of
 
@@ -46,15 +45,21 @@ def count_words(texts: pa.Array) -> np.ndarray:
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source`` and ``size`` in words."""
+    """``doc_id``, ``source``, ``size`` in words and ``text_hash``."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(count_words(batch.column(2)))],
-            ["doc_id", "source", "size"],
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array(count_words(batch.column(2))),
+                batch.column(3),
+            ],
+            ["doc_id", "source", "size", "text_hash"],
         )
 
-    return mapped(docs, "text", "doc_id bigint, source string, size bigint", run)
+    schema = "doc_id bigint, source string, size bigint, text_hash bigint"
+    return mapped(docs.withColumn("text_hash", F.xxhash64("text")), "text", schema, run, 1 << 20)
 
 
 def source_targets(measured: DataFrame, rules: MixRules) -> DataFrame:
@@ -185,6 +190,10 @@ def mix(
     reruns agree. Each source gives the whole words below its target exactly.
     """
     rows = take(docs, doc_id=id_column, source=source_column, text=text_column)
+    return _taken(rows, rules).drop("text_hash")
+
+
+def _taken(rows: DataFrame, rules: MixRules) -> DataFrame:
     measured = stored(sizes(rows), "sizes")
     sources = stored(_blocks(source_targets(measured, rules), rules), "sources")
     slots = schedule(sources)
@@ -222,7 +231,7 @@ def mix(
     ).union(streamed.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(*RESULT))
 
 
-RESULT = ("doc_id", "source", "size", "source_size", "target", "taken")
+RESULT = ("doc_id", "source", "size", "source_size", "target", "taken", "text_hash")
 
 
 def _upto(rows: DataFrame, takes: DataFrame, place: Column, name: str) -> DataFrame:
@@ -242,30 +251,21 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """The documents, each repeated as often as the mix takes it, to the nearest whole number.
 
     Only where a source's share ends is a document taken in part. Empty documents stay once.
-    Rows alike in id, source and size are repeated alike.
+    Rows alike in id, source and text are repeated alike.
     """
-    taken = mix(docs, rules)
+    taken = _taken(take(docs, doc_id="doc_id", source="source", text="text"), rules)
     share = F.round(F.sum("taken") / F.sum("size")).cast("int")
-    times = taken.groupBy("doc_id", "source", "size").agg(
-        F.when(F.col("size") > 0, share).otherwise(1).alias("_llm_times")
-    )
-    keyed = times.select(
+    keyed = taken.groupBy(
         F.col("doc_id").alias("_llm_id"),
         F.col("source").alias("_llm_source"),
+        F.col("text_hash").alias("_llm_hash"),
         F.col("size").alias("_llm_size"),
-        "_llm_times",
-    )
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counted = pa.array(count_words(batch.column("text")))
-        return batch.append_column("_llm_words", counted)
-
-    schema = StructType([*docs.schema.fields, StructField("_llm_words", LongType())])
-    met = mapped(docs, "text", schema, run).join(
+    ).agg(F.when(F.col("_llm_size") > 0, share).otherwise(1).alias("_llm_times"))
+    met = docs.withColumn("_llm_own", F.xxhash64("text")).join(
         keyed,
         F.col("doc_id").eqNullSafe(F.col("_llm_id"))
         & F.col("source").eqNullSafe(F.col("_llm_source"))
-        & (F.col("_llm_words") == F.col("_llm_size")),
+        & (F.col("_llm_own") == F.col("_llm_hash")),
     )
     repeated = met.withColumn("_llm_turn", F.explode(F.array_repeat(F.lit(0), F.col("_llm_times"))))
     return repeated.select(*docs.columns)
