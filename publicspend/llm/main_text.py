@@ -3,13 +3,15 @@
 Markup is stripped and every block of the page becomes a line. A line weighs as many characters
 as it has outside links; lines of menus, forms, notices and the like weigh nothing. The sums of
 weights over a sliding window rise where the article starts (the surge) and fall to nothing where
-it ends (the dive). The lines between are its text.
+it ends (the dive). The lines between are its text. Article and main elements bound the stretches
+and join those in them, but a surge decides whether their text is taken at all.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -66,7 +68,7 @@ class _Line:
     text: str
     plain: int
     aside: bool
-    inside: bool
+    container: int  # number of the outermost article or main element, 0 outside
 
 
 def _noted(tag: str, attributes: str, inside: bool) -> bool:
@@ -84,14 +86,14 @@ def lines_of(page: str) -> list[_Line]:
     """The page's blocks in order, with what the distribution needs to know of each."""
     lines: list[_Line] = []
     parts: list[str] = []
-    plain = links = containers = 0
+    plain = links = containers = opened = 0
     aside: str | None = None  # the element that started a stretch beside the article
     depth = place = 0
 
     def close() -> None:
         nonlocal plain
         text = " ".join("".join(parts).split())
-        lines.append(_Line(text, plain, aside is not None, containers > 0))
+        lines.append(_Line(text, plain, aside is not None, opened if containers else 0))
         parts.clear()
         plain = 0
 
@@ -132,6 +134,7 @@ def lines_of(page: str) -> list[_Line]:
         elif not end and _noted(tag, attributes, containers > 0):
             aside, depth = tag, 1
         if aside is None and tag in CONTAINERS:
+            opened += not end and not containers
             containers = max(0, containers + (-1 if end else 1))
     add(page[place:])
     close()
@@ -141,36 +144,49 @@ def lines_of(page: str) -> list[_Line]:
 def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
     """The lines between surges and dives, joined by line feeds.
 
-    A page with text in an article element has its article there; else any line may be part.
+    An article or main element with a surge is kept as a whole. The lines outside such elements
+    are one sequence. Where all text stands in links, that in these elements is weighed.
     """
     lines = lines_of(page or "")
-    held = any(line.text and line.inside and not line.aside for line in lines)
-    weights = []
-    for line in lines:
-        if line.aside or not line.text or (held and not line.inside):
-            weights.append(0)
-        else:
-            weights.append(max(len(line.text), rules.surge + 1) if held else line.plain)
-    window = rules.window
-    sums = [sum(weights[i : i + window]) for i in range(len(weights))]
-    limit = min(rules.surge, rules.share * max(sums, default=0))
-    kept: list[str] = []
+    weights = [0 if line.aside else line.plain for line in lines]
+    if not any(weights):
+        weights = [len(line.text) if line.container and not line.aside else 0 for line in lines]
+    sequences: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        sequences.setdefault(line.container, []).append(i)
+    sums = {
+        container: _sums([weights[i] for i in places], rules.window)
+        for container, places in sequences.items()
+    }
+    highest = max((x for found in sums.values() for x in found), default=0)
+    limit = min(rules.surge, rules.share * highest)
+    kept: list[int] = []
+    for container, places in sequences.items():
+        if container:
+            if max(sums[container]) > limit:
+                kept += places
+            continue
+        for first, last in _stretches([weights[i] for i in places], sums[container], limit):
+            kept += places[first : last + 1]
+    return "\n".join(lines[i].text for i in sorted(kept) if lines[i].text and not lines[i].aside)
+
+
+def _sums(weights: list[int], window: int) -> list[int]:
+    return [sum(weights[i : i + window]) for i in range(len(weights))]
+
+
+def _stretches(weights: list[int], sums: list[int], limit: float) -> Iterator[tuple[int, int]]:
+    """The first and last lines from each surge to its dive."""
     i = 0
-    while i < len(lines):
+    while i < len(weights):
         if not weights[i] or sums[i] <= limit:
             i += 1
             continue
         dive = i
-        while dive < len(lines) and sums[dive]:
+        while dive < len(weights) and sums[dive]:
             dive += 1
-        last = max(j for j in range(i, dive) if weights[j])
-        kept += [
-            line.text
-            for line in lines[i : last + 1]
-            if line.text and not line.aside and (line.inside or not held)
-        ]
+        yield i, max(j for j in range(i, dive) if weights[j])
         i = dive
-    return "\n".join(kept)
 
 
 def extract(

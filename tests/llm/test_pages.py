@@ -210,6 +210,16 @@ def test_main_text(tag):
     assert main_text.main_text(page[: page.index("<aside>")]) == TEXT
 
 
+def test_containers_do_not_decide_alone():
+    body = "".join(f"<p>Paragraph {i} of the text, which is long enough to be one by itself.</p>" for i in range(9))
+    cards = '<article><h2>More</h2><p>Short teaser.</p></article><article><a href="x">Another, in a link</a></article>'
+    found = main_text.main_text(f"<body><div>{body}</div>{cards}</body>")
+    assert found.split("\n") == [f"Paragraph {i} of the text, which is long enough to be one by itself." for i in range(9)]
+    both = main_text.main_text(f"<body><div>Our site</div><article><h1>T</h1>{body}<p>End.</p></article></body>")
+    assert both.split("\n") == ["T", *found.split("\n"), "End."]
+    assert main_text.main_text('<nav>Menu</nav><main><a href="x">All in a link</a></main>') == "All in a link"
+
+
 def test_broken_pages():
     for page in (None, "", "   ", "<p>", "<!-- open <p>x</p>", "<script>x", "<a <b \"> '", "<" * 2000):
         assert isinstance(main_text.main_text(page), str)
