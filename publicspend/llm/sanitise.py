@@ -6,8 +6,9 @@ corpus, reaches a share of the entity's own information,
 
     log(N df(t, e) / (df(t) df(e)))  >=  share * log(N / df(e)).
 
-A term counts as seen with an entity if it stands within a few words of a mention. Contexts that
-are copies of each other count once, so that copying a document proves nothing.
+A term counts as seen with an entity if it stands within a few words of a mention. All four figures
+count distinct texts, and a term has to meet its entity in several different contexts, so that
+copying a document neither proves nor hides anything.
 """
 
 from __future__ import annotations
@@ -135,34 +136,43 @@ def _around(text: str, span: Span, window: int) -> list[str]:
 
 
 def mentions(docs: DataFrame, window: int) -> DataFrame:
-    """(entity, context, term): every term near every mention, contexts as 64-bit hashes."""
+    """(entity, context, text_hash, term): every term near every mention; 64-bit hashes."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        entities, contexts, terms = [], [], []
-        for text in batch.column(1).to_pylist():
+        entities, contexts, hashes, terms = [], [], [], []
+        for text, of_text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
             for span in base_spans(text or ""):
                 entity, near = _entity(text, span), _around(text, span, window)
                 context = xxhash.xxh64_intdigest(" ".join(near)) - (1 << 63)
                 entities += [entity] * len(near)
                 contexts += [context] * len(near)
+                hashes += [of_text] * len(near)
                 terms += near
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(entities, pa.string()),
                 pa.array(contexts, pa.int64()),
+                pa.array(hashes, pa.int64()),
                 pa.array(terms, pa.string()),
             ],
-            ["entity", "context", "term"],
+            ["entity", "context", "text_hash", "term"],
         )
 
-    return mapped(docs, "text", "entity string, context bigint, term string", run)
+    schema = "entity string, context bigint, text_hash bigint, term string"
+    return mapped(docs.select("text", F.xxhash64("text")), "text", schema, run)
 
 
 def _frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``term``, ``df``: in how many documents each of ``terms`` stands.
+    """``term``, ``df``: in how many distinct texts each of ``terms`` stands.
 
-    A task adds up its own documents first and keeps a bounded number of counts.
+    Only texts whose hash occurs again are shuffled, to keep one of each. A task adds up its own
+    texts first and keeps a bounded number of counts.
     """
+    hashed = docs.select("text", F.xxhash64("text").alias("text_hash"))
+    times = hashed.groupBy("text_hash").agg(F.count("*").alias("n"))
+    again = stored(times.where("n > 1").select("text_hash"), "repeated_texts")
+    single = hashed.join(again, "text_hash", "left_anti").select("text")
+    copied = hashed.join(again, "text_hash", "left_semi").select("text").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -179,7 +189,7 @@ def _frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 counts.clear()
         yield out()
 
-    partial = docs.select("text").mapInArrow(run, "term string, n bigint")
+    partial = single.union(copied).mapInArrow(run, "term string, n bigint")
     return partial.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
 
 
@@ -189,19 +199,21 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataF
     Of all terms near mentions only those in enough contexts need their frequency in the corpus.
     """
     seen = stored(mentions(docs, rules.window).distinct(), "mentions")
-    both = seen.groupBy("entity", "term").agg(F.count("*").alias("both"))
-    often = stored(both.where(F.col("both") >= rules.support), "co_occurrence")
+    both = seen.groupBy("entity", "term").agg(
+        F.count_distinct("context").alias("contexts"), F.count_distinct("text_hash").alias("both")
+    )
+    often = stored(both.where(F.col("contexts") >= rules.support), "co_occurrence")
     if often.isEmpty():
         return often.select("term", "entity", F.lit(0.0).alias("told"))
     alone = (
         seen.join(often.select("entity").distinct(), "entity", "left_semi")
-        .select("entity", "context")
+        .select("entity", "text_hash")
         .distinct()
         .groupBy("entity")
         .agg(F.count("*").alias("entity_df"))
     )
     wide = _frequencies(docs, often.select("term").distinct())
-    total = docs.count()
+    total = docs.select(F.xxhash64("text")).distinct().count()
     n = F.greatest(F.lit(float(total)), F.col("entity_df") + F.lit(1.0))
     shared = F.log(n * F.col("both") / (F.greatest("df", "both") * F.col("entity_df")))
     told = shared / F.log(n / F.col("entity_df"))

@@ -365,3 +365,22 @@ def test_disclosing_terms(spark, most):
     assert clean[500].text == "Here <TERM> is alone." and clean[500].n_chars == 21
     assert "<EMAIL>" in clean[400].text and "zaphod" not in clean[0].text
     assert clean[10].text == dict(rows)[10]
+
+
+def test_copies_hide_no_disclosing_terms(spark):
+    rng = random.Random(4)
+
+    def some(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=4)) for _ in range(n))
+
+    rows = [f"{some(30)} zaphod writes from zb@galaxy.example.com today {some(30)}" for _ in range(5)]
+    rows += [some(60) for _ in range(100)] + ["Here zaphod is alone."]
+
+    def told(texts):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+        return sorted(tuple(r) for r in sanitise.disclosing_terms(docs).collect())
+
+    found = told(rows)
+    assert "zaphod" in {term for term, *_ in found}
+    assert told(rows + rows[:1] * 50) == found
+    assert told(rows + rows[-1:] * 200) == found
