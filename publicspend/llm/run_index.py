@@ -12,7 +12,8 @@ that is ``length`` or more, the text is marked, and the marks go back to the doc
 
 An anchor with very many places (a passage a third of all documents hold) is split further,
 by where in the string it stands and by a hash of the bytes that all such strings have around it;
-equal strings agree in both.
+equal strings agree in both. Blocks that are still too large are cut again, with smaller steps, down
+to one offset: there a context is one string, equal ones collapse, and a block holds one context.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ _FACTORS = tuple(np.uint64((_GOLDEN * (2 * i + 3) | 1) & (2**64 - 1)) for i in r
 @dataclass(frozen=True)
 class RepeatRules:
     """Strings of ``length`` bytes; blocks of about ``block`` bytes; an anchor with over
-    ``crowd`` places is split by offsets in steps of ``step``."""
+    ``crowd`` places is split by offsets in steps of ``step``, and in smaller ones where the
+    contexts of a block key exceed ``block``."""
 
     length: int = 200
     block: int = 1 << 20
@@ -126,7 +128,8 @@ def _anchor_rows(docs: DataFrame, rules: RepeatRules) -> DataFrame:
     )
 
 
-#: kind 0: a document; kind 1: a context; kind 2: where a context lies.
+#: kind 0: a document; kind 1: a context, and where its anchor lies in it; kind 2: where a context
+#: lies.
 FOUND = (
     "kind int, doc_id bigint, text_hash bigint, n_bytes bigint, sha256 string, text string, "
     "block_key bigint, context binary, bytes binary, times bigint, low int"
@@ -150,16 +153,23 @@ def _rows(kind: int, size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
-def _stretches(raw: bytes, place: int, low: int, high: int, crowded: bool, rules: RepeatRules):
-    """(salt, low, high) of the contexts of an anchor: one, or one for each step of offsets."""
-    if not crowded:
+def _stretches(raw: bytes, place: int, low: int, high: int, step: int, rules: RepeatRules):
+    """(salt, low, high) of the contexts of an anchor: one, or one for each ``step`` of offsets."""
+    if not step:
         yield b"", low, high
         return
-    step = rules.step
     for part in range((place - high) // step, (place - low) // step + 1):
         begin, end = max(low, place - part * step - step + 1), min(high, place - part * step)
         core = raw[place - part * step : place - part * step + rules.length - step + 1]
-        yield bytes([part]) + core, begin, end
+        yield part.to_bytes(2) + core, begin, end
+
+
+def _block(key: int, salt: bytes) -> int:
+    return key ^ xxhash.xxh64_intdigest(salt) >> 1 if salt else key
+
+
+def _context_key(part: bytes, block: int) -> bytes:
+    return xxhash.xxh3_128_digest(part, seed=block & (2**64 - 1))
 
 
 def _contexts(docs: DataFrame, rules: RepeatRules) -> DataFrame:
@@ -190,13 +200,14 @@ def _contexts(docs: DataFrame, rules: RepeatRules) -> DataFrame:
                 held = mine[np.minimum(at, len(mine) - 1)] == found
                 records = zip(*(x[held].tolist() for x in (found, places, low, high)), strict=True)
                 for anchor, place, first, last in records:
-                    for salt, a, b in _stretches(raw, place, first, last, anchor in crowds, rules):
+                    step = rules.step if anchor in crowds else 0
+                    for salt, a, b in _stretches(raw, place, first, last, step, rules):
                         part = raw[a : b + rules.length]
-                        block = anchor ^ xxhash.xxh64_intdigest(salt) >> 1 if salt else anchor
-                        key = xxhash.xxh3_128_digest(part, seed=block & (2**64 - 1))
+                        block = _block(anchor, salt)
+                        key = _context_key(part, block)
                         entry = known.get(key)
                         if entry is None:
-                            known[key] = [block, part, 1]
+                            known[key] = [block, part, 1, place - a]
                         else:
                             entry[2] += 1
                         docs_at.append(i)
@@ -214,8 +225,16 @@ def _contexts(docs: DataFrame, rules: RepeatRules) -> DataFrame:
             yield _rows(
                 0, len(dirty), doc_id=ids.take(at), text_hash=hashes_of.take(at), text=text
             )
-            blocks, parts, times = zip(*known.values(), strict=True) if known else ((), (), ())
-            yield _rows(1, len(known), block_key=blocks, context=list(known), bytes=parts, times=times)
+            blocks, parts, times, offs = zip(*known.values(), strict=True) if known else ((),) * 4
+            yield _rows(
+                1,
+                len(known),
+                block_key=blocks,
+                context=list(known),
+                bytes=parts,
+                times=times,
+                low=offs,
+            )
             at = pa.array(docs_at, pa.int64())
             yield _rows(
                 2,
@@ -388,6 +407,82 @@ def _marks(contexts: DataFrame, rules: RepeatRules) -> DataFrame:
     )
 
 
+def _cut(contexts: DataFrame, step: int, rules: RepeatRules) -> DataFrame:
+    """Contexts cut by steps of offsets, each with the one it is from (``whole``, ``start``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "bytes", SLICE // 8):
+            out = []
+            rows = zip(*(piece.column(i).to_pylist() for i in range(5)), strict=True)
+            for key, whole, raw, times, place in rows:
+                last = len(raw) - rules.length
+                for salt, a, b in _stretches(raw, place, 0, last, step, rules):
+                    part, block = raw[a : b + rules.length], _block(key, salt)
+                    out.append((block, _context_key(part, block), part, times, place - a, whole, a))
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [
+                pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int32(),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+                ["block_key", "context", "bytes", "times", "low", "whole", "start"],
+            )
+
+    return contexts.select("block_key", "context", "bytes", "times", "low").mapInArrow(
+        run,
+        "block_key bigint, context binary, bytes binary, times bigint, low int, whole binary, "
+        "start int",
+    )
+
+
+def _merged(parts: DataFrame) -> DataFrame:
+    """Equal contexts as one."""
+    return parts.groupBy("block_key", "context").agg(
+        F.first("bytes").alias("bytes"), F.sum("times").alias("times"), F.first("low").alias("low")
+    )
+
+
+def _bounded_marks(parts: DataFrame, rules: RepeatRules, step: int | None = None) -> DataFrame:
+    """(context, marks), where contexts of a key that exceed a block are cut by smaller steps.
+
+    ``parts`` were cut by steps of ``step``, if given, else of ``rules.step`` or not at all. Rows
+    are counted first, as if none were equal; only keys with many are looked at closely.
+    """
+    contexts = _merged(parts)
+    if step == 1:
+        return _marks(contexts, rules)
+    most = max(1, rules.block // (2 * rules.length))
+    many = parts.groupBy("block_key").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    many = stored(many.select("block_key"), "many")
+    if many.isEmpty():
+        return _marks(contexts, rules)
+    close = parts.join(many, "block_key", "left_semi").select("block_key", "context", "bytes")
+    sizes = (
+        close.groupBy("block_key", "context")
+        .agg(F.first(F.length("bytes")).alias("size"))
+        .groupBy("block_key")
+        .agg(F.sum("size").alias("size"))
+    )
+    large = stored(sizes.where(F.col("size") > rules.block).select("block_key"), "large")
+    if large.isEmpty():
+        return _marks(contexts, rules)
+    fitting = _marks(_merged(parts.join(large, "block_key", "left_anti")), rules)
+    smaller = max(1, (step or rules.step) // 4)
+    cut = stored(
+        _cut(_merged(parts.join(large, "block_key", "left_semi")), smaller, rules), "cut"
+    )
+    marks = stored(_bounded_marks(cut.drop("whole", "start"), rules, smaller), "cut_marks")
+    moved = F.transform("marks", lambda m: F.array(m[0] + F.col("start"), m[1] + F.col("start")))
+    joined = (
+        cut.select("context", "whole", "start")
+        .join(marks, "context")
+        .select(F.col("whole").alias("context"), F.explode(moved).alias("mark"))
+        .groupBy("context")
+        .agg(F.collect_set("mark").alias("marks"))
+    )
+    return fitting.union(joined)
+
+
 def _stripped(rows: DataFrame) -> DataFrame:
     """Documents without the bytes that their marks cover."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
@@ -458,12 +553,8 @@ def remove_repeats(
         "doc_id", "text_hash", "text", "shared", "crowded"
     )
     parts = stored(_contexts(known, rules), "contexts")
-    contexts = (
-        parts.where("kind = 1")
-        .groupBy("block_key", "context")
-        .agg(F.first("bytes").alias("bytes"), F.sum("times").alias("times"))
-    )
-    marks = stored(_marks(contexts, rules), "marks")
+    contexts = parts.where("kind = 1").select("block_key", "context", "bytes", "times", "low")
+    marks = stored(_bounded_marks(contexts, rules), "marks")
     spans = (
         parts.where("kind = 2")
         .select("doc_id", "text_hash", "context", "low")

@@ -240,6 +240,27 @@ def test_repeats_in_periodic_and_shuffled_text(spark, seed):
     assert rows_of(run_index.remove_repeats(docs, rules, with_kept=False)) == removed(rows, 200)
 
 
+def test_repeats_at_the_edges_of_a_common_passage(spark, monkeypatch, tmp_path):
+    """Every document has other text on both sides, so contexts of one key differ by document."""
+    rng = random.Random(11)
+    passage = "".join(rng.choices("abcdefgh ", k=260))
+    sides = ["".join(rng.choices("ijklmnop ", k=80)) for _ in range(160)]
+    rows = [(i, sides[i] + passage + sides[-i]) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    rules = run_index.RepeatRules(crowd=10, block=4000)
+    indexed = run_index._groups
+
+    def groups(batches):
+        for group in indexed(batches):
+            size = sum(len(part) for _, part, _ in group)
+            (tmp_path / f"{size}-{random.getrandbits(60)}").touch()
+            yield group
+
+    monkeypatch.setattr(run_index, "_groups", groups)
+    assert rows_of(run_index.remove_repeats(docs, rules, with_kept=False)) == removed(rows, 200)
+    assert max(int(p.name.split("-")[0]) for p in tmp_path.iterdir()) <= rules.block
+
+
 def test_mixture(spark, documents, awkward, no_documents):
     rows = [r.asDict() for r in mixing.mix(documents, mixing.MixRules(block_words=64)).collect()]
     sizes = [(i, s, len(WORD.findall(t or ""))) for i, t, s in awkward]
