@@ -2,8 +2,8 @@
 
 Markup is stripped and every block of the page becomes a line. A line weighs as many characters
 as it has outside links; lines of menus, forms, notices and the like weigh nothing. The sums of
-weights over a sliding window rise where the article starts (the surge) and fall to nothing where
-it ends (the dive). The lines between are its text. Article and main elements bound the stretches
+weights over a sliding window rise in the article (the surge) and fall to nothing where it ends, on
+both sides (the dive). The lines between are its text. Blank lines do not count. Article and main elements bound the stretches
 and join those in them, but a surge decides whether their text is taken at all.
 """
 
@@ -13,6 +13,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,13 +50,19 @@ _TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
+#: Elements that hold blocks. In articles only these can be noted, by a whole class or role.
+HOLDERS = frozenset("article main div section li ul ol dl table details fieldset figure center".split())
+
 _MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_TOKENS = re.compile(
+    r"(?<![\w-])(?:class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I
+)
 _WORDS = re.compile(r"[a-z]+")
 
 
 @dataclass(frozen=True)
 class BlockRules:
-    """Lines in a ``window``; a surge passes ``surge`` characters, or ``share`` of the page's
+    """Lines of text in a ``window``; a surge passes ``surge`` characters, or ``share`` of the page's
     highest sum where that is less."""
 
     window: int = 3
@@ -72,12 +79,21 @@ class _Line:
 
 
 def _noted(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element starts something beside the article."""
+    """Whether an element starts something beside the article.
+
+    Outside articles any word of a class, id or role tells; the id of a heading, say, may be any
+    word of its text, so inside only a whole class or role of an element that holds blocks does.
+    """
     if tag in ASIDE or (tag == "header" and not inside):
         return True
+    if inside:
+        return tag in HOLDERS and any(
+            not NOTES.isdisjoint((mark[1] or mark[2] or mark[3] or "").lower().split())
+            for mark in _TOKENS.finditer(attributes)
+        )
     for mark in _MARKS.finditer(attributes):
         words = set(_WORDS.findall((mark[1] or mark[2] or mark[3] or "").lower()))
-        if words & NOTES or (not inside and words & OUTER_NOTES):
+        if words & NOTES or words & OUTER_NOTES:
             return True
     return False
 
@@ -147,7 +163,7 @@ def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
     An article or main element with a surge is kept as a whole. The lines outside such elements
     are one sequence. Where all text stands in links, that in these elements is weighed.
     """
-    lines = lines_of(page or "")
+    lines = [line for line in lines_of(page or "") if line.text]
     weights = [0 if line.aside else line.plain for line in lines]
     if not any(weights):
         weights = [len(line.text) if line.container and not line.aside else 0 for line in lines]
@@ -168,7 +184,7 @@ def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
             continue
         for first, last in _stretches([weights[i] for i in places], sums[container], limit):
             kept += places[first : last + 1]
-    return "\n".join(lines[i].text for i in sorted(kept) if lines[i].text and not lines[i].aside)
+    return "\n".join(lines[i].text for i in sorted(kept) if not lines[i].aside)
 
 
 def _sums(weights: list[int], window: int) -> list[int]:
@@ -176,17 +192,12 @@ def _sums(weights: list[int], window: int) -> list[int]:
 
 
 def _stretches(weights: list[int], sums: list[int], limit: float) -> Iterator[tuple[int, int]]:
-    """The first and last lines from each surge to its dive."""
-    i = 0
-    while i < len(weights):
-        if not weights[i] or sums[i] <= limit:
-            i += 1
-            continue
-        dive = i
-        while dive < len(weights) and sums[dive]:
-            dive += 1
-        yield i, max(j for j in range(i, dive) if weights[j])
-        i = dive
+    """The first and last lines between dives, where there is a surge between them."""
+    for some, run in groupby(range(len(sums)), lambda i: sums[i] > 0):
+        places = list(run)
+        if some and max(sums[i] for i in places) > limit:
+            weighty = [i for i in places if weights[i]]
+            yield weighty[0], weighty[-1]
 
 
 def extract(

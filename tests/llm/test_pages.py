@@ -220,6 +220,18 @@ def test_containers_do_not_decide_alone():
     assert main_text.main_text('<nav>Menu</nav><main><a href="x">All in a link</a></main>') == "All in a link"
 
 
+def test_short_blocks_stay_with_their_text():
+    long = "A paragraph that is long enough to be the text of a page by itself, and then some more of it."
+    wrapped = ["A title", "By someone", "1 May", long, "A cell", "Another cell", long, "The end."]
+    for block in ("<div><p>{}</p></div>", "<p>{}</p>", "<table><tr><td><div>{}</div></td></tr></table>"):
+        page = "".join(block.format(text) for text in wrapped)
+        assert main_text.main_text(f"<body><div>{page}</div></body>").split("\n") == wrapped
+    kept = '<h2 id="social-security">Social</h2><p id="search">One</p><div id="comment-on-ads">Two</div>'
+    kept += '<div class="navigation-systems">Three</div>'
+    page = f'<article><p>{long}</p>{kept}<div class="box related">No</div><section role="search">No</section></article>'
+    assert main_text.main_text(page).split("\n") == [long, "Social", "One", "Two", "Three"]
+
+
 def test_broken_pages():
     for page in (None, "", "   ", "<p>", "<!-- open <p>x</p>", "<script>x", "<a <b \"> '", "<" * 2000):
         assert isinstance(main_text.main_text(page), str)
