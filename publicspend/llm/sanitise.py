@@ -127,7 +127,10 @@ def _entity(text: str, span: Span) -> str:
 
 
 def _around(text: str, span: Span, window: int) -> list[str]:
-    """The terms within ``window`` words of a mention, without the mention itself."""
+    """The terms within ``window`` words of a mention, without the mention itself.
+
+    Words are looked for in 40 characters for each word; a longer stretch is cut there.
+    """
     reach = 40 * window
     before = text[max(0, span[0] - reach) : span[0]].split()[-window:]
     after = text[span[1] : span[1] + reach].split()[:window]
