@@ -138,9 +138,35 @@ def line_quality(rules: LineRules = LineRules()) -> str:
         FROM judged"""
 
 
+FILL_MIDDLE = r"""
+    WITH given AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+            sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digits,
+            regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents),
+    drawn AS (
+        SELECT *, len(units) AS n,
+            ('0x' || digits[1:8])::BIGINT % (len(units) + 1) AS one,
+            ('0x' || digits[9:16])::BIGINT % (len(units) + 1) AS two,
+            text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR ('0x' || digits[17:24])::BIGINT % 100 >= 100 AS is_plain,
+            ('0x' || digits[25:32])::BIGINT % 100 < 50 AS is_spm FROM given),
+    cut AS (
+        SELECT *, array_to_string(units[1:least(one, two)], '') AS p,
+            array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS m,
+            array_to_string(units[greatest(one, two) + 1:], '') AS s FROM drawn)
+    SELECT doc_id, n, CASE WHEN is_plain THEN 'plain' WHEN is_spm THEN 'spm' ELSE 'psm' END AS form,
+        CASE WHEN NOT is_plain THEN length(p) END AS prefix_chars,
+        CASE WHEN NOT is_plain THEN length(m) END AS middle_chars,
+        sha256(CASE WHEN is_plain THEN text WHEN is_spm THEN '<S>' || s || '<P>' || p || '<M>' || m
+            ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM cut"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_reputation": url_reputation(),
         "op7_kd_trees": KD_TREES,
         "op9_line_quality": line_quality(),
+        "op13_fill_middle": FILL_MIDDLE,
     }

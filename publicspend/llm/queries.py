@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from publicspend.llm import (
+    fill_middle,
     line_cleaning,
     main_text,
     mixing,
@@ -82,6 +83,10 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.fill_in_middle(table(spark, folder, "documents")))
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express; tests hold the others against brute force."""
     return oracles.oracle_sql()
@@ -99,4 +104,5 @@ def queries() -> dict[str, Query]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_line_quality": op9_line_quality,
         "op10_main_text": op10_main_text,
+        "op13_fill_middle": op13_fill_middle,
     }

@@ -13,7 +13,7 @@ TEXTS = queries.oracle_sql()
 
 def test_one_query_for_each_operator():
     names = [name for name in entry.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(TEXTS) <= set(entry.oracle_sql())
 
 
