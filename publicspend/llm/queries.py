@@ -14,6 +14,7 @@ from publicspend.llm import (
     mixing,
     ngram_join,
     oracles,
+    packing,
     pieces,
     run_index,
     sanitise,
@@ -83,6 +84,10 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, folder, "documents")))
+
+
 def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_in_middle(table(spark, folder, "documents")))
 
@@ -104,5 +109,6 @@ def queries() -> dict[str, Query]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_line_quality": op9_line_quality,
         "op10_main_text": op10_main_text,
+        "op12_packing": op12_packing,
         "op13_fill_middle": op13_fill_middle,
     }
