@@ -138,6 +138,49 @@ def line_quality(rules: LineRules = LineRules()) -> str:
         FROM judged"""
 
 
+PREFIX_TRIE = """
+    WITH named AS (
+        SELECT conv_id, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said,
+            sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+                AS code
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, list(said ORDER BY turn NULLS FIRST, code) AS turns FROM named GROUP BY 1),
+    codes AS (
+        SELECT *, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)
+            AS bytes FROM own),
+    -- crc32, bit by bit
+    taking AS (
+        SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], bytes), lambda crc, byte:
+            list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda bits, none:
+                CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)),
+            4294967295) % 9 AS h FROM codes),
+    rebuilt AS (
+        SELECT o.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+        FROM taking o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+    prefixes AS (
+        SELECT conv_id, depth, turns[1:depth] AS node, depth = len(turns) AS ends
+        FROM rebuilt, unnest(range(0, len(turns) + 1)) AS u(depth)),
+    nodes AS (
+        SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+            coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')
+                AS ends,
+            if(depth > 0, strlen(node[depth].text), 0) AS bytes
+        FROM prefixes GROUP BY node, depth),
+    children AS (
+        SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    counted AS (
+        SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+    totals AS (
+        SELECT node[1:upto] AS node, sum(if(n_children = 0, 1, 0))::BIGINT AS n_leaves,
+            sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+        FROM counted, unnest(range(0, depth + 1)) AS u(upto) GROUP BY 1)
+    SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+        saved_tokens, sha256(c.ends) AS ends_sha256
+    FROM counted c JOIN totals t ON t.node = c.node
+    LEFT JOIN counted p ON c.depth > 0 AND p.node = c.node[1:c.depth - 1]"""
+
+
 FILL_MIDDLE = r"""
     WITH given AS (
         SELECT doc_id, coalesce(text, '') AS text,
@@ -168,5 +211,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_reputation": url_reputation(),
         "op7_kd_trees": KD_TREES,
         "op9_line_quality": line_quality(),
+        "op11_prefix_trie": PREFIX_TRIE,
         "op13_fill_middle": FILL_MIDDLE,
     }

@@ -16,6 +16,7 @@ from publicspend.llm import (
     oracles,
     packing,
     pieces,
+    prefix_trie,
     run_index,
     sanitise,
     url_reputation,
@@ -84,6 +85,11 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.turn_sequences(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.branched(turns))
+
+
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, folder, "documents")))
 
@@ -109,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_line_quality": op9_line_quality,
         "op10_main_text": op10_main_text,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_packing": op12_packing,
         "op13_fill_middle": op13_fill_middle,
     }
