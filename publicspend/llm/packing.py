@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -45,13 +47,13 @@ PIECES = (
 @dataclass(frozen=True)
 class PackRules:
     """``end`` closes every document; ``text_bytes`` of text are encoded at once, and a worker
-    remembers ``words`` words."""
+    remembers ``words`` words of up to 100 characters."""
 
     model: str = MODEL
     capacity: int = 2048
     end: int = 1
-    text_bytes: int = 8 << 20
-    words: int = 200_000
+    text_bytes: int = 4 << 20
+    words: int = 400_000
 
 
 # ---------------------------------------------------------------------------------------------
@@ -59,42 +61,128 @@ class PackRules:
 
 
 class Encoder:
-    """Token ids of texts, word by word where the tokenizer drops white space."""
+    """Token ids of texts, word by word where the tokenizer drops white space.
+
+    Words are remembered in two halves: when the newer one is full it becomes the older one, so
+    frequent words stay.
+    """
 
     def __init__(self, path: str, words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.model = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            self.by_word = splits_at_white_space(json.load(file))
-        self.wide = self.model.get_vocab_size() > 1 << 16
-        self.words = words
-        self.known: dict[str, list[int]] = {}
+            spec = json.load(file)
+        self.by_word, self.by_letters = splits_at_white_space(spec), maps_letters(spec)
+        self.merges = self.model.model
+        self.kind = np.dtype("<u4" if self.model.get_vocab_size() > 1 << 16 else "<u2")
+        self.packed = [row.tobytes() for row in np.arange(self.model.get_vocab_size()).astype(self.kind)]
+        self.half = max(1, words // 2)
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         texts = texts.fill_null("")
         if not self.by_word:
             found = self.model.encode_batch(texts.to_pylist(), add_special_tokens=False)
-            ids = pa.array([e.ids for e in found], pa.list_(pa.int32()))
-            return ids.flatten().to_numpy(), pc.list_value_length(ids).to_numpy()
+            sizes = np.array([len(e.ids) for e in found], np.int64)
+            none = [np.zeros(0, self.kind)]
+            return np.concatenate(none + [np.array(e.ids, self.kind) for e in found]), sizes
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
-        ids = pa.array(self._of_words(coded.dictionary.to_pylist()), pa.list_(pa.int32()))
+        parts = self._of_words(_strings(coded.dictionary))
+        ends = np.cumsum([0, *map(len, parts)]) // self.kind.itemsize
+        ids = pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), self.kind))
+        )
         each = ids.take(coded.indices)
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(each).to_numpy())])
         return each.flatten().to_numpy(), np.diff(ends[words.offsets.to_numpy()])
 
-    def _of_words(self, words: list[str]) -> list[list[int]]:
-        new = [word for word in words if word not in self.known]
-        if len(self.known) + len(new) > self.words:
-            self.known.clear()
-            new = words
-        found = self.model.encode_batch(new, add_special_tokens=False)
-        fresh = {word: e.ids for word, e in zip(new, found, strict=True)}
-        out = [self.known[word] if word in self.known else fresh[word] for word in words]
-        if len(fresh) <= self.words:
-            self.known |= fresh
-        return out
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.newer.get, words))
+        for place, ids in enumerate(found):
+            if ids is None:
+                found[place] = self._of_word(words[place])
+        return found
+
+    def _of_word(self, word: str) -> bytes:
+        bare = word.rstrip(MARKS)
+        if len(bare) < len(word) and bare and bare[-1].isalnum():
+            # a run of marks after a letter or digit is a token of its own
+            return self._known(bare) + self._known(word[len(bare) :])
+        return self._known(word)
+
+    def _known(self, word: str) -> bytes:
+        ids = self.newer.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self._ids(word)
+            if len(word) <= 100:
+                if len(self.newer) >= self.half:
+                    self.older, self.newer = self.newer, {}
+                self.newer[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        """Plain words go to the merges, the last step, by themselves."""
+        if self.by_letters and word.isascii() and word.isprintable() and not OTHERS.intersection(word):
+            return b"".join(map(self._merged, RUNS.findall(word.lower())))
+        if self.by_letters and LETTERS.fullmatch(word):
+            return self._merged(word.lower().encode().decode("latin-1").translate(SIGNS))
+        return self._packed(self.model.encode(word, add_special_tokens=False).ids)
+
+    def _merged(self, signs: str) -> bytes:
+        return b"".join([self.packed[token.id] for token in self.merges.tokenize(signs)])
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return b"".join([self.packed[i] for i in ids])
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """Words, none of which holds a space, as one string that is split: faster than one by one."""
+    if not len(words):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
+def byte_signs() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it can be
+    seen, else the next one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(byte) for byte in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+SIGNS = byte_signs()
+#: Signs that take part in added tokens or in the pattern's endings.
+OTHERS = frozenset("'<|>")
+MARKS = "".join(c for c in string.punctuation if c not in OTHERS)
+RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
+#: Letters that no normal form changes and whose lower case is one letter.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def maps_letters(spec: dict) -> bool:
+    """Whether runs of letters, single digits and runs of other signs go to the merges each by itself,
+    in lower case and as byte signs, but for endings after an apostrophe."""
+    if not splits_at_white_space(spec):
+        return False
+    steps = spec["normalizer"].get("normalizers", [])
+    before = spec["pre_tokenizer"].get("pretokenizers", [])
+    pattern = before[0]["pattern"]["Regex"].split("|")
+    first = [part for part in pattern if not part.startswith("'")]
+    return bool(
+        any(step["type"] == "Lowercase" for step in steps)
+        and first == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
+        and [step["type"] for step in before[1:]] == ["ByteLevel"]
+        and not before[1]["use_regex"]
+        and not before[1]["add_prefix_space"]
+        and all(OTHERS.intersection(token["content"]) for token in spec.get("added_tokens", []))
+        and spec["model"]["type"] == "BPE"
+    )
 
 
 def splits_at_white_space(spec: dict) -> bool:
@@ -141,7 +229,7 @@ def tokenized(docs: DataFrame, rules: PackRules) -> DataFrame:
         seen = np.zeros(rules.capacity, np.int64)
         full_so_far = 0
         model = encoder(rules.model, rules.words)
-        kind = np.dtype("<u4" if model.wide else "<u2")
+        kind = model.kind
         for piece in slices(batches, "text", rules.text_bytes):
             found, counts = model.encode(piece.column(1))
             n = counts.astype(np.int64) + 1

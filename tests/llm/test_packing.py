@@ -1,9 +1,12 @@
 """Packing: every id once, no padding, and ids as the tokenizer gives them for whole texts."""
 
+import json
 import random
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -11,9 +14,11 @@ from publicspend.llm import packing
 from publicspend.llm.packing import PackRules, Plan, fill_gaps, shortest_pack_first
 
 
+MODEL = Tokenizer.from_file(packing.MODEL)
+
+
 def whole(text):
-    model = Tokenizer.from_file(packing.MODEL)
-    return model.encode(text or "", add_special_tokens=False).ids + [1]
+    return MODEL.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check_pieces(rows, texts, capacity):
@@ -74,14 +79,31 @@ def test_shared_ids_null_ids_and_empty_table(spark):
 
 
 def test_word_by_word_is_the_whole_text():
-    import json
-
-    import public_tokenizers
-
     spec = json.load(open(packing.MODEL, encoding="utf-8"))
-    assert packing.splits_at_white_space(spec)
+    assert packing.splits_at_white_space(spec) and packing.maps_letters(spec)
     other = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
     assert not packing.splits_at_white_space(other)
+    rng = random.Random(8)
+    every = [chr(c) for c in range(0x250)] + list("ΑΣσς\u0307\u0331\u0301日本😀ſKﬁ١Ⅷ²")
+    common = list("abcdeABCDEéÉüßÀ.,;:!?'<|>019- \n")
+    texts = ["".join(rng.choices(rng.choice([every, common]), k=60)) for _ in range(3000)]
+    texts += ["H\u0331.", "I\u0307,", "<|ENDOFTEXT|>", "a<|endoftext|>.", "it's. he'LL?!", "", "x" * 500]
+    model = packing.Encoder(packing.MODEL, 30)
+    ids, sizes = model.encode(pa.array(texts))
+    ends = np.cumsum(sizes)
+    for text, start, end in zip(texts, ends - sizes, ends, strict=True):
+        assert ids[start:end].tolist() == whole(text)[:-1], repr(text)
+
+
+def test_tokenizer_that_keeps_white_space(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = Tokenizer.from_file(path)
+    texts = {1: " a  b\n", 2: "", 3: "Hello, world! " * 50}
+    rules = PackRules(model=path, capacity=32, end=7)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    pieces = [tuple(p) for p in packing.pack(docs, rules).collect()]
+    wanted = {i: model.encode(t, add_special_tokens=False).ids + [7] for i, t in texts.items()}
+    assert check_pieces(pieces, wanted, 32)[0] == 0
 
 
 @pytest.mark.parametrize("seed", range(12))
