@@ -6,22 +6,23 @@ import datetime as dt
 import sys
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_texts  # noqa: E402
 from publicspend.functions.measures import stable_round  # noqa: E402
 from publicspend.functions.text import comma_decimal, italian_number, lenient_int  # noqa: E402
 from publicspend.operators import procurement, quality, register, rollups, strategic  # noqa: E402
-from publicspend.operators.quality import Contract  # noqa: E402
+from publicspend.operators.ordering import in_place  # noqa: E402
+from publicspend.operators.quality import Contract, Watch  # noqa: E402
 from publicspend.plans import compose, contracts, marts, reports  # noqa: E402
 from publicspend.session import shared_folder  # noqa: E402
-from publicspend.sources import layers  # noqa: E402
+from publicspend.sources import layers, tables  # noqa: E402
 from publicspend.sources.csv_files import read_text_table  # noqa: E402
 from publicspend.sources.proxy import (  # noqa: E402
     PROXY_RULES,
@@ -30,13 +31,12 @@ from publicspend.sources.proxy import (  # noqa: E402
     comma_text,
     italian_text,
 )
+from publicspend.sources.tables import Buckets  # noqa: E402
 
-try:
+try:  # the corpus operators, or a library that only they use, may be absent
     import corpus_pipeline  # noqa: E402
     from publicspend.llm import queries as llm_queries  # noqa: E402
-except ModuleNotFoundError as error:
-    if error.name not in ("publicspend.llm", "corpus_pipeline"):
-        raise
+except ModuleNotFoundError:
     llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,15 +155,14 @@ def report_funding_detail(spark: SparkSession, folder: str) -> DataFrame:
     return layers.load_mart(spark, root, name, "mart_fonti", year)
 
 
-def _in_place(df: DataFrame, limit: int) -> DataFrame:
-    """The first rows of an ordered table, with the place each has in it."""
-    return df.limit(limit).withColumn("place", F.monotonically_increasing_id() + 1)
+def _over_wide_in_place(report: Callable[[DataFrame], DataFrame], money: str = "") -> Query:
+    """A report and the place of each of its rows in it."""
 
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        found = report(Proxy(spark, folder).wide())
+        return _rounded(in_place(found, _scratch(spark, "in_place")), money)
 
-def _over_wide_in_place(
-    report: Callable[[DataFrame], DataFrame], money: str = "", limit: int = 1000
-) -> Query:
-    return _from_proxy(lambda p: _in_place(report(p.wide()), limit), money)
+    return run
 
 
 def contract_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,7 +200,7 @@ def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
         layers.write_table(part, f"{base}/{name}")
     newest = layers.latest_snapshot(spark, base)
     written = layers.row_count(spark, newest)
-    return spark.read.parquet(newest).agg(
+    return tables.read_table(spark, newest).agg(
         F.lit(newest.rsplit("/", 1)[1]).alias("snapshot"),
         F.lit(written).cast("bigint").alias("n_written"),
         F.count("*").alias("n_read"),
@@ -218,8 +217,8 @@ def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    proxy = Proxy(spark, folder)
-    wide = layers.write_table(proxy.wide(), _scratch(spark, "quality_metrics"))
+    """The wide register's contract and its keys against the register's, measured in the writes."""
+    proxy, root = Proxy(spark, folder), _scratch(spark, "quality_metrics")
     contract = Contract(
         required_columns=("cup",),
         not_null=("cup", "anac_importo_base"),
@@ -228,8 +227,120 @@ def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
         at_least={"silos_costi_mln IS NOT NULL": 10},
         max_age={"anac_data_ultima_agg": 30},
     )
-    checks = quality.check(wide, contract, as_of=dt.date(2030, 1, 1))
-    return checks.unionAll(quality.same_rows_check(proxy.projects(), wide))
+    before, after = Watch(key=("cup",)), Watch(contract, key=("cup",), as_of=dt.date(2030, 1, 1))
+    tables.stage(before.over(proxy.projects()), f"{root}/projects")
+    tables.stage(after.over(proxy.wide()), f"{root}/wide")
+    same = quality.same_rows(tables.Facts("", before.rows, before.keys), after)
+    return quality.as_table(spark, [*after.checks(), *same])
+
+
+def same_rows_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The register against copies: the same rows, one lost, one doubled, and one lost for another
+    that is doubled, which leaves the number of rows as it was."""
+    projects = Proxy(spark, folder).projects().select("cup")
+    low, high = projects.agg(F.min("cup"), F.max("cup")).first()
+    lost = projects.where(F.col("cup") != low)
+    doubled = projects.where(F.col("cup") == high)
+    copies = {
+        "same": projects.repartition(5),
+        "lost": lost,
+        "doubled": projects.union(doubled),
+        "swapped": lost.union(doubled),
+    }
+    checks = [
+        quality.same_rows_check(projects, copy, ("cup",)).withColumn("pair", F.lit(name))
+        for name, copy in copies.items()
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def published_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """What a reader sees of a table that was published twice, once written but not published, and
+    once refused by its contract."""
+    path = f"{_scratch(spark, 'published_versions')}/registro.parquet"
+    projects = Proxy(spark, folder).projects().select("cup", "anno_decisione")
+    layers.write_table(projects.where("anno_decisione < 1995"), path)
+    layers.write_table(projects.where("anno_decisione < 1997"), path)
+    tables.stage(projects, path)
+    try:
+        layers.write_table(projects, path, watch=Watch(Contract(min_rows=10**12)))
+    except quality.QualityError:
+        pass
+    seen = tables.read_table(spark, path).groupBy("anno_decisione").agg(F.count("*").alias("n_cup"))
+    n = len(tables.versions(spark, path))
+    return seen.withColumns(
+        {
+            "n_versions": F.lit(n).cast("bigint"),
+            "n_counted": F.lit(layers.row_count(spark, path)).cast("bigint"),
+        }
+    )
+
+
+def layer_years_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Years whose cost was stored as a whole number at first, then with decimals, read as one."""
+    root = _scratch(spark, "layer_years_widened")
+    projects = Proxy(spark, folder).projects().select("cup", "anno_decisione", "costo_progetto")
+    years = [row[0] for row in projects.select("anno_decisione").distinct().collect()]
+    for year in years:
+        kind = "int" if int(year) < 1995 else "double"
+        part = projects.where(F.col("anno_decisione") == year)
+        stored = part.withColumn("costo_progetto", F.col("costo_progetto").cast(kind))
+        layers.write_table(stored, layers.clean_path(root, "progetti", int(year)))
+    joined = layers.load_clean(spark, root, "progetti", sorted(map(int, years)))
+    grouped = joined.groupBy("anno_decisione", F.typeof("costo_progetto").alias("tipo")).agg(
+        F.count("*").alias("n_cup"), F.sum("costo_progetto").alias("costo")
+    )
+    return _rounded(grouped, "costo")
+
+
+def _stored_by_code(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The wide register from a register and sides that are stored in buckets of the code."""
+    proxy, root, by_code = Proxy(spark, folder), _scratch(spark, name), Buckets("cup", 8)
+    single = Contract(primary_key=("cup",))
+    sides = compose.support_sides(proxy.support(), PROXY_RULES)
+    stored = [
+        layers.write_table(side, f"{root}/{n}", watch=Watch(single), buckets=by_code)
+        for n, side in {"registro": proxy.projects(), **sides}.items()
+    ]
+    wide = compose.wide_from_sides(stored[0], stored[1:], PROXY_RULES)
+    return layers.write_table(wide, f"{root}/wide", watch=Watch(single), buckets=by_code)
+
+
+def stored_wide_register(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(_stored_by_code(spark, folder, "stored_wide"), oracle_texts.WIDE_MONEY)
+
+
+def stored_project_card(spark: SparkSession, folder: str) -> DataFrame:
+    """One project, found in the one bucket that may hold its code."""
+    found = reports.project_card(_stored_by_code(spark, folder, "stored_card"), "7")
+    return _rounded(found, oracle_texts.WIDE_MONEY)
+
+
+def tender_map_blank_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of tender and project of which some lack a code: blank, of blanks only, or NULL."""
+    pairs = Proxy(spark, folder).tender_pairs()
+    key = (F.col("cig").cast("bigint") * 7 + F.col("cup").cast("bigint")) % 10
+
+    def without(name: str, places: tuple[int, int, int]) -> Column:
+        empty, blank, null = places
+        return (
+            F.when(key == empty, "")
+            .when(key == blank, "   ")
+            .when(key == null, None)
+            .otherwise(F.col(name))
+        )
+
+    broken = pairs.select(
+        without("cig", (0, 1, 2)).alias("cig"), without("cup", (3, 4, 2)).alias("cup")
+    )
+    return procurement.tender_map(broken, PROXY_RULES)
+
+
+def report_sector_coverage_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Coverage by sector where one sector has no tenders, so that its group is dropped."""
+    wide = Proxy(spark, folder).wide()
+    none = F.when(F.col("settore_intervento") == "1-URGENT", 0).otherwise(F.col("anac_n_cig"))
+    return reports.sector_coverage(wide.withColumn("anac_n_cig", none))
 
 
 def queries() -> dict[str, Query]:
@@ -282,6 +393,7 @@ def base_queries() -> dict[str, Query]:
         "cohesion": _from_proxy(lambda p: rollups.cohesion(p.cohesion_projects())),
         # procurement
         "tender_map": _from_proxy(tenders),
+        "tender_map_blank_codes": tender_map_blank_codes,
         "tender_awards": _from_proxy(
             lambda p: procurement.tender_awards(p.awards(), rules), "importo_totale_agg"
         ),
@@ -356,12 +468,30 @@ def base_queries() -> dict[str, Query]:
         "report_sector_coverage_top3": _over_wide_in_place(
             partial(reports.sector_coverage, limit=3)
         ),
+        "report_sector_coverage_cut": report_sector_coverage_cut,
         "report_region_top3": _over_wide_in_place(
             partial(reports.cost_by_region, limit=3), "costo"
         ),
         "report_region_cost_order": _over_wide_in_place(reports.cost_by_region, "costo"),
+        "report_region_names_order": _over_wide_in_place(reports.region_names),
         "report_status_order": _over_wide_in_place(reports.status_counts),
-        "territory_mart_order": _over_wide_in_place(marts.territory_mart, limit=10_000),
+        "report_area_order": _over_wide_in_place(reports.coverage_by_area, "costo"),
+        "report_works_state_order": _over_wide_in_place(reports.works_by_state),
+        "report_works_system_order": _over_wide_in_place(reports.works_by_system, "costo gap"),
+        "report_recovery_share_order": _from_proxy(
+            lambda p: _rounded(
+                in_place(
+                    reports.recovery_share(p.wide(), "settore_intervento"),
+                    _scratch(p.spark, "in_place"),
+                ),
+                "pnrr_fin costo",
+            ),
+            "pct_pnrr",
+            4,
+        ),
+        "territory_mart_order": _over_wide_in_place(marts.territory_mart),
+        "funding_mart_order": _over_wide_in_place(marts.funding_mart),
+        "cost_mart_order": _over_wide_in_place(marts.cost_mart),
         # layers, ad-hoc SQL, quality
         "adhoc_sql": adhoc_sql,
         "layer_years": layer_years,
@@ -373,6 +503,11 @@ def base_queries() -> dict[str, Query]:
         "quality_metrics": quality_metrics,
         "contract_rows": contract_rows,
         "snapshot_rows": snapshot_rows,
+        "same_rows_pairs": same_rows_pairs,
+        "published_versions": published_versions,
+        "layer_years_widened": layer_years_widened,
+        "stored_wide_register": stored_wide_register,
+        "stored_project_card": stored_project_card,
     }
 
 

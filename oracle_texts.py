@@ -220,6 +220,12 @@ def text(select: str, steps: list[str]) -> str:
     return f"WITH {head}\n{select}" if steps else select
 
 
+def keys(table: str, cup: str = "cup") -> str:
+    """The fingerprint of the codes in a table: 60 bits of a hash each, added up modulo 2^62."""
+    bits = f"('0x' || md5('=' || {cup})[1:15])::BIGINT"
+    return f"(SELECT (coalesce(sum({bits}), 0) % 4611686018427387904)::BIGINT FROM {table})"
+
+
 def over_wide(select: str) -> str:
     return text(select, WIDE)
 
@@ -562,33 +568,85 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 'primary_key', 'cup', count(*) - count(DISTINCT cup), 0, false
                     FROM wide
                 UNION ALL SELECT 'same_rows', '*', (SELECT count(*) FROM wide), count(*), true
-                    FROM orders)
+                    FROM orders
+                UNION ALL SELECT 'same_keys', 'cup', {keys("wide")}, {keys("projects")}, true)
             SELECT rule, "column", observed, expected,
                 if(floor, observed >= expected, observed <= expected) AS passed
             FROM seen"""),
     }
-    def in_place(name: str, order: str, limit: int = 1000) -> str:
-        return f"""
-            SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({texts[name]})
-            QUALIFY place <= {limit}"""
+    def in_place(name: str, order: str, limit: int | None = None) -> str:
+        numbered = f"""
+            SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({texts[name]})"""
+        return numbered if limit is None else f"{numbered} QUALIFY place <= {limit}"
 
     by_cost = "costo DESC NULLS LAST, {} NULLS LAST"
     sectors, regions = by_cost.format("settore_intervento"), by_cost.format("regione")
+    by_place = "regione NULLS LAST, area NULLS LAST, settore_intervento NULLS LAST"
+    no_tenders = "if(settore_intervento = '1-URGENT', 0, anac_n_cig)"
+    pairs = {
+        "same": "projects",
+        "lost": "(FROM projects WHERE cup <> (SELECT min(cup) FROM projects))",
+        "doubled": "(FROM projects UNION ALL FROM projects WHERE cup = (SELECT max(cup) FROM projects))",
+        "swapped": """(FROM projects WHERE cup <> (SELECT min(cup) FROM projects)
+            UNION ALL FROM projects WHERE cup = (SELECT max(cup) FROM projects))""",
+    }
+    compared = " UNION ALL ".join(
+        f"""SELECT '{name}' AS pair, 'same_rows' AS rule, '*' AS "column",
+            (SELECT count(*) FROM {copy}) AS observed, (SELECT count(*) FROM projects) AS expected
+        UNION ALL SELECT '{name}', 'same_keys', 'cup', {keys(copy)}, {keys("projects")}"""
+        for name, copy in pairs.items()
+    )
+    code = "(l_partkey * 7 + l_orderkey) % 10"
     texts |= {
         "report_sectors_top3": in_place("report_sectors", sectors, 3),
         "report_region_sectors_top2": in_place("report_region_sectors", sectors, 2),
         "report_sector_coverage_top3": in_place(
             "report_sector_coverage", "pct DESC NULLS LAST, settore_intervento", 3
         ),
+        "report_sector_coverage_cut": over_wide(f"""
+            SELECT settore_intervento, count(*) AS n_cup, {count_if(no_tenders + " > 0")} AS con_anac,
+                {pct_if(no_tenders + " > 0")} AS pct FROM wide GROUP BY 1 HAVING con_anac > 0
+            ORDER BY pct DESC, 1 LIMIT 10"""),
         "report_region_top3": in_place("report_region_cost", regions, 3),
         "report_region_cost_order": in_place("report_region_cost", regions),
+        "report_region_names_order": in_place("report_region_names", "regione NULLS LAST"),
         "report_status_order": in_place("report_status", "n DESC, stato_progetto NULLS LAST"),
+        "report_area_order": in_place("report_area", by_cost.format("area")),
+        "report_works_state_order": in_place("report_works_state", "n DESC, stato NULLS LAST"),
+        "report_works_system_order": in_place(
+            "report_works_system", by_cost.format("silos_sistema")
+        ),
+        "report_recovery_share_order": in_place(
+            "report_recovery_share_sector", "pct_pnrr DESC NULLS LAST, settore_intervento NULLS LAST"
+        ),
         "territory_mart_order": in_place(
             "territory_mart",
-            "costo_mld DESC NULLS LAST, regione NULLS LAST, area NULLS LAST, "
-            "settore_intervento NULLS LAST, anno_decisione NULLS LAST",
-            10_000,
+            f"costo_mld DESC NULLS LAST, {by_place}, anno_decisione NULLS LAST",
+        ),
+        "funding_mart_order": in_place(
+            "funding_mart",
+            "costo_mld DESC NULLS LAST, settore_intervento NULLS LAST, area NULLS LAST",
+        ),
+        "cost_mart_order": in_place("cost_mart", f"importo_base_mld DESC NULLS LAST, {by_place}"),
+        "same_rows_pairs": text(
+            f"SELECT *, observed = expected AS passed FROM ({compared})", ["projects"]
+        ),
+        "published_versions": text(
+            """SELECT anno_decisione, count(*) AS n_cup, 2::BIGINT AS n_versions,
+                sum(count(*)) OVER ()::BIGINT AS n_counted
+            FROM projects WHERE anno_decisione::INTEGER < 1997 GROUP BY 1""",
+            ["projects"],
+        ),
+        "layer_years_widened": text(
+            f"""SELECT anno_decisione, 'double' AS tipo, count(*) AS n_cup,
+                {rnd("sum(if(anno_decisione::INTEGER < 1995, trunc(costo_progetto), costo_progetto))", 2)}
+                    AS costo
+            FROM projects GROUP BY 1""",
+            ["projects"],
         ),
+        "tender_map_blank_codes": f"""
+            SELECT l_partkey::VARCHAR AS cig, min(l_orderkey::VARCHAR) AS cup FROM lineitem
+            WHERE {code} > 4 AND l_orderkey::VARCHAR NOT IN ('ND', '0') GROUP BY 1""",
         "snapshot_rows": text(
             """SELECT '1998-02-01' AS snapshot, count(*) AS n_written, count(*) AS n_read,
                 max(anno_decisione) AS last_year
@@ -602,4 +660,6 @@ def oracle_sql() -> dict[str, str]:
         "csv_ingest_cut_files": texts["csv_ingest"],
         "csv_ingest_crlf": texts["csv_ingest"].replace("chr(10)", "chr(13) || chr(10)"),
         "works_ingest": texts["strategic_status"],
+        "stored_wide_register": texts["wide_register"],
+        "stored_project_card": texts["report_project_card"],
     }

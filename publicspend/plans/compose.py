@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -87,19 +88,37 @@ def wide_register(
     A register that already carries place and funding flags, as ``register_with_support``
     gives them, keeps its own instead of having them worked out again.
     """
-    sides = []
-    if "regione" not in projects.columns:
-        sides.append(rollups.preferred_location(support.locations, rules).drop("codice_comune"))
-    if "n_fonti" not in projects.columns:
-        sides.append(rollups.funding_flags(support.funding, rules))
-    sides += [
-        rollups.recovery_project(support.recovery_projects),
-        rollups.recovery_tenders(support.recovery_tenders),
-        rollups.recovery_payments(support.recovery_payments),
-        procurement_of(support, rules),
-        rollups.cohesion(support.cohesion_projects),
-        rollups.strategic_project(support.works),
-    ]
+    sides = support_sides(support, rules, known=projects.columns)
+    return wide_from_sides(projects, list(sides.values()), rules, hot)
+
+
+def support_sides(
+    support: Support, rules: Rules = Rules(), known: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """What the register is joined to: tables with one row per project code.
+
+    A refresh stores them dealt by the code, as it does the register, so that the joins need no
+    shuffle. Sides whose columns are ``known`` are left out.
+    """
+    sides = {}
+    if "regione" not in known:
+        sides["luogo"] = rollups.preferred_location(support.locations, rules).drop("codice_comune")
+    if "n_fonti" not in known:
+        sides["finanziatori"] = rollups.funding_flags(support.funding, rules)
+    return sides | {
+        "pnrr_progetti": rollups.recovery_project(support.recovery_projects),
+        "pnrr_gare": rollups.recovery_tenders(support.recovery_tenders),
+        "pnrr_pagamenti": rollups.recovery_payments(support.recovery_payments),
+        "appalti": procurement_of(support, rules),
+        "coesione": rollups.cohesion(support.cohesion_projects),
+        "opere": rollups.strategic_project(support.works),
+    }
+
+
+def wide_from_sides(
+    projects: DataFrame, sides: list[DataFrame], rules: Rules = Rules(), hot: list | None = None
+) -> DataFrame:
+    """The wide register from a register and all its sides."""
     own = [c for c in WIDE_COLUMNS if c in projects.columns]
     joined = left_join_all(projects.select(*own), sides, "cup", hot)
     derived = _derived(rules)
@@ -150,13 +169,24 @@ def register_with_support(
     hot: list | None = None,
 ) -> DataFrame:
     """The full register with place and funding flags only."""
-    flags = list(rules.funding_labels)
-    joined = left_join_all(
-        projects,
-        [rollups.preferred_location(locations, rules), rollups.funding_flags(funding, rules)],
-        "cup",
-        hot,
-    )
+    sides = place_and_funding(locations, funding, rules)
+    return register_from_sides(projects, list(sides.values()), rules, hot)
+
+
+def place_and_funding(
+    locations: DataFrame, funding: DataFrame, rules: Rules = Rules()
+) -> dict[str, DataFrame]:
+    """The two sides of the full register, one row per project code."""
+    return {
+        "luogo": rollups.preferred_location(locations, rules),
+        "finanziatori": rollups.funding_flags(funding, rules),
+    }
+
+
+def register_from_sides(
+    projects: DataFrame, sides: list[DataFrame], rules: Rules = Rules(), hot: list | None = None
+) -> DataFrame:
+    joined = left_join_all(projects, sides, "cup", hot)
     return joined.select(
         *projects.columns,
         "regione",
@@ -164,5 +194,5 @@ def register_with_support(
         "comune",
         "codice_comune",
         or_zero(F.col("n_fonti")).alias("n_fonti"),
-        *[or_false(F.col(flag)).alias(flag) for flag in flags],
+        *[or_false(F.col(flag)).alias(flag) for flag in rules.funding_labels],
     )

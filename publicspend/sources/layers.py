@@ -6,9 +6,38 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-
-STAGED, REPLACED = ".staged", ".replaced"
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NullType,
+    ShortType,
+    StructType,
+)
+
+from publicspend.operators import quality
+from publicspend.operators.quality import Watch
+from publicspend.sources import tables
+from publicspend.sources.tables import Buckets, Facts
+
+WIDENED_FROM: dict[type, tuple[type, ...]] = {
+    ShortType: (ByteType,),
+    IntegerType: (ByteType, ShortType),
+    LongType: (ByteType, ShortType, IntegerType),
+    FloatType: (ByteType, ShortType),
+    DoubleType: (ByteType, ShortType, IntegerType, FloatType),
+}
+WHOLE_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+
+
+class SchemaClash(ValueError):
+    """Raised when no type holds a column's values of all years exactly."""
 
 
 def clean_path(root: str, name: str, year: int) -> str:
@@ -19,6 +48,10 @@ def mart_path(root: str, name: str, year: int, table: str) -> str:
     return f"{root}/data/mart/{name}/{year}/{table}.parquet"
 
 
+def support_path(root: str, name: str, year: int) -> str:
+    return f"{root}/data/support/{name}/{year}/{name}.parquet"
+
+
 def raw_path(root: str, name: str, year: int) -> str:
     return f"{root}/data/raw/{name}/{year}/{name}.parquet"
 
@@ -28,53 +61,101 @@ def write_table(
     path: str,
     lookup: str | None = None,
     check: Callable[[DataFrame], None] | None = None,
+    watch: Watch | None = None,
+    more: Callable[[], list[Row]] = list,
+    buckets: Buckets | None = None,
+    keep: int = tables.KEPT,
 ) -> DataFrame:
-    """Replace the table at ``path`` and return it as read back.
-
-    What follows reads the files, so a lost executor never recomputes past this point.
-    ``lookup`` names a key that single rows are fetched by: a bloom filter on it lets a
-    point query skip almost every row group. With a ``check`` the table is written beside
-    ``path`` and takes its place only if the check, given the written table, raises nothing.
+    """Publish a new version of the table at ``path`` and return it as read back.
+
+    What follows reads the files, so a lost executor never recomputes past this point. ``watch``
+    measures rules while the rows are written, so that no second scan is needed for them; ``more``
+    gives further ones that need its figures. If a rule fails, or ``check``, given the written
+    table, raises, the table stays as it was. ``buckets`` deal the rows by a key that tables are
+    joined on and single rows are fetched by; without them, ``lookup`` names a key for a bloom
+    filter. ``keep`` versions stay, for jobs that still read them.
     """
-    target = f"{path}{STAGED}" if check else path
-    writer = df.write.mode("overwrite").option("compression", "zstd")
-    if lookup:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
-    writer.parquet(target)
+    spark = df.sparkSession
+    if buckets:  # falls away where the rows already lie so
+        df = df.repartition(buckets.count, buckets.column)
+    counted = watch or quality.Watch()
+    version = tables.stage(counted.over(df), path, buckets, lookup)
+    found = Facts(df.schema.json(), counted.rows, counted.keys, buckets)
+    tables.note(spark, path, version, found)
+    quality.enforce_rows([*counted.checks(), *more()])
     if check:
-        check(df.sparkSession.read.parquet(target))
-        replace_table(df.sparkSession, target, path)
-    return df.sparkSession.read.parquet(path)
+        check(tables.read_version(spark, path, version))
+    tables.publish(spark, path, version)
+    tables.expire(spark, path, keep)
+    return tables.read_version(spark, path, version)
+
 
+def row_count(spark: SparkSession, path: str) -> int:
+    """Rows in a written table: as counted in the write, or from the Parquet footers."""
+    known = tables.facts(spark, path)
+    return spark.read.parquet(path).count() if known is None else known.rows
 
-def replace_table(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the staged table in the place of the one at ``path``, which is kept until then.
 
-    On HDFS and local disks both steps are renames. If the second one fails, the old table is put
-    back.
+def read_years(spark: SparkSession, template: str, years: list[int]) -> DataFrame:
+    """External table whose location carries ``{year}``.
+
+    Years may differ in columns; a column whose type differs is read in the narrowest type that
+    holds all values of both exactly, and where there is none the read is refused.
+    """
+    found = {year: tables.read_table(spark, template.format(year=year)) for year in years}
+    types = reconciled({year: df.schema for year, df in found.items()})
+    casts = [
+        df.select(*[F.col(_quoted(c)).cast(types[c.lower()][1]).alias(types[c.lower()][0]) for c in df.columns])
+        for df in found.values()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), casts)
+
+
+def reconciled(schemas: dict[int, StructType]) -> dict[str, tuple[str, DataType]]:
+    """Name and type of every column, by its name in lower case, over the years in order."""
+    types: dict[str, tuple[str, DataType]] = {}
+    for year, schema in schemas.items():
+        for field in schema:
+            known = types.get(field.name.lower())
+            wider = field.dataType if known is None else wider_type(known[1], field.dataType)
+            if wider is None:
+                raise SchemaClash(
+                    f"{field.name} is {field.dataType.simpleString()} in {year} and "
+                    f"{known[1].simpleString()} in earlier years"
+                )
+            types[field.name.lower()] = (known[0] if known else field.name, wider)
+    return types
+
+
+def wider_type(one: DataType, other: DataType) -> DataType | None:
+    """The narrowest type that holds the values of both exactly; None if there is none.
+
+    Whole numbers widen to longer ones, to doubles as far as these are exact (32 bits), and to
+    decimals with enough digits; floats to doubles; decimals to more digits. Text, dates, times,
+    truth values and nested types only match themselves. A column without a type takes the other's.
     """
-    new, old, place = (_hadoop_path(spark, p) for p in (staged, f"{path}{REPLACED}", path))
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    had = files.exists(place)
-    if had and not files.rename(place, old):
-        raise OSError(f"{path} can not be moved")
-    if not files.rename(new, place):
-        if had:
-            files.rename(old, place)
-        raise OSError(f"{staged} can not be moved to {path}")
-    files.delete(old, True)
+    if one == other or isinstance(other, NullType):
+        return one
+    if isinstance(one, NullType):
+        return other
+    for narrow, wide in ((one, other), (other, one)):
+        if type(wide) in WIDENED_FROM and isinstance(narrow, WIDENED_FROM[type(wide)]):
+            return wide
+    digits = [_digits(kind) for kind in (one, other)]
+    if None in digits or not any(isinstance(kind, DecimalType) for kind in (one, other)):
+        return None
+    whole, scale = (max(pair) for pair in zip(*digits, strict=True))
+    return DecimalType(whole + scale, scale) if whole + scale <= 38 else None
 
 
-def row_count(spark: SparkSession, path: str) -> int:
-    """Rows in a written table, from the Parquet footers."""
-    return spark.read.parquet(path).count()
+def _digits(kind: DataType) -> tuple[int, int] | None:
+    if isinstance(kind, DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    return (WHOLE_DIGITS[type(kind)], 0) if type(kind) in WHOLE_DIGITS else None
 
 
-def read_years(spark: SparkSession, template: str, years: list[int]) -> DataFrame:
-    """External table whose location carries ``{year}``; years may differ in columns."""
-    tables = [spark.read.parquet(template.format(year=year)) for year in years]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
 def load_clean(spark: SparkSession, root: str, name: str, years: list[int]) -> DataFrame:
@@ -82,7 +163,7 @@ def load_clean(spark: SparkSession, root: str, name: str, years: list[int]) -> D
 
 
 def load_mart(spark: SparkSession, root: str, name: str, table: str, year: int) -> DataFrame:
-    return spark.read.parquet(mart_path(root, name, year, table))
+    return tables.read_table(spark, mart_path(root, name, year, table))
 
 
 def query_clean(

@@ -4,9 +4,10 @@ import pytest
 
 import refresh
 from publicspend.operators.quality import Contract, QualityError
+from publicspend.plans.compose import register_from_sides, wide_from_sides
 from publicspend.plans.contracts import CONTRACTS
 from publicspend.plans.pipeline import EXTERNAL, Inputs, Refresh
-from publicspend.sources import layers
+from publicspend.sources import layers, tables
 from publicspend.sources.proxy import PROXY_RULES, WORKS_YEAR, Proxy
 
 YEAR = 2026
@@ -57,11 +58,53 @@ def test_refresh(spark, tiny, inputs, tmp_path):
     assert layers.query_clean(spark, root, "registro_ampio", sql, [YEAR]).first().n > 0
 
 
+def test_stored_tables_join_without_a_shuffle(spark, tiny, inputs, tmp_path):
+    root = str(tmp_path)
+    job = Refresh(spark, root, YEAR, PROXY_RULES, small(CONTRACTS), buckets=5)
+    job.run(inputs, WORKS_YEAR)
+
+    def read(name):
+        return tables.read_table(spark, layers.support_path(root, name, YEAR))
+
+    projects = layers.load_mart(spark, root, "progetti", "mart_progetti", YEAR)
+    register = layers.load_mart(spark, root, "progetti", "mart_registro", YEAR)
+    sides = [read(name) for name in ("luogo", "finanziatori")]
+    more = [
+        read(name)
+        for name in ("pnrr_progetti", "pnrr_gare", "pnrr_pagamenti", "appalti", "coesione", "opere")
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = [
+            register_from_sides(projects, sides, PROXY_RULES),
+            wide_from_sides(register, more, PROXY_RULES),
+        ]
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in built]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [plan.count("SortMergeJoin") for plan in plans] == [2, 6]
+    assert all("Exchange" not in plan for plan in plans)
+    known = tables.facts(spark, layers.clean_path(root, "registro_ampio", YEAR))
+    assert known.rows == job.rows["registro_ampio"] and known.buckets.count == 5
+    assert known.keys == tables.facts(spark, layers.mart_path(root, "progetti", YEAR, "mart_progetti")).keys
+
+
+def test_repeated_codes_are_not_dealt_to_buckets(spark, tiny, inputs, tmp_path):
+    contracts = small(CONTRACTS)
+    contracts |= {name: Contract() for name in ("mart_progetti", "mart_registro")}
+    root = str(tmp_path)
+    Refresh(spark, root, YEAR, PROXY_RULES, contracts).run(inputs, WORKS_YEAR)
+    path = layers.clean_path(root, "registro_ampio", YEAR)
+    assert tables.facts(spark, path).buckets is None
+    assert tables.read_table(spark, path).count() == Proxy(spark, tiny).projects().count()
+
+
 def test_broken_contract_stops_the_run(spark, inputs, tmp_path):
     contracts = small(CONTRACTS) | {"fonti": Contract(min_rows=10**9)}
     with pytest.raises(QualityError, match="min_rows"):
         Refresh(spark, str(tmp_path), YEAR, PROXY_RULES, contracts).run(inputs, WORKS_YEAR)
     assert not (tmp_path / "data" / "clean" / "registro_ampio").exists()
+    assert not tables.versions(spark, layers.clean_path(str(tmp_path), "fonti", YEAR))
 
 
 def test_broken_contract_keeps_the_table_before(spark, inputs, tmp_path):
@@ -70,7 +113,7 @@ def test_broken_contract_keeps_the_table_before(spark, inputs, tmp_path):
     contracts = small(CONTRACTS) | {"fonti": Contract(min_rows=10**9)}
     with pytest.raises(QualityError, match="min_rows"):
         Refresh(spark, str(tmp_path), YEAR, PROXY_RULES, contracts).run(inputs, WORKS_YEAR)
-    assert [row.cup for row in spark.read.parquet(path).collect()] == ["old"]
+    assert [row.cup for row in tables.read_table(spark, path).collect()] == ["old"]
 
 
 def test_checked_table_replaces_the_one_before(spark, tmp_path):
@@ -81,7 +124,7 @@ def test_checked_table_replaces_the_one_before(spark, tmp_path):
         found = layers.write_table(df, path, check=lambda t: seen.append(t.first().cup))
         assert [row.cup for row in found.collect()] == [name]
     assert seen == ["first", "second"]
-    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t.parquet"]
+    assert len(tables.versions(spark, path)) == 2
 
 
 def test_missing_external_table(spark, inputs, tmp_path):
