@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from publicspend.operators import register
 from publicspend.session import size_shuffles
 from publicspend.sources import csv_files, layers
-from publicspend.sources.csv_files import join_lines, read_text_table
+from publicspend.sources.csv_files import read_text_table
 
 
 
@@ -89,7 +89,8 @@ def test_records_across_parts(spark, tmp_path, parts):
     expected = sorted((tuple(v or None for v in row) for row in rows), key=repr)
     assert raw_rows(spark, path) == expected
     parts(True)
-    assert join_lines(csv_files._lines(spark, [str(path)], "UTF-8")).count() == 401
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    assert csv_files.text_index(csv_files._lines(spark, [str(path)], "UTF-8")).count() > 20
     assert raw_rows(spark, path) == expected
 
 
@@ -150,12 +151,78 @@ def test_other_header_stops_the_read(spark, tmp_path, cut, cell, parts):
         read_text_table(spark, [one, str(other)]).collect()
 
 
-def test_many_files_to_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(csv_files, "MOST_LISTED", 1)
+@pytest.mark.parametrize("cut", [False, True])
+def test_files_with_and_without_fields_over_lines(spark, tmp_path, cut, parts):
+    parts(cut)
     for name in "abc":
-        (tmp_path / f"{name}.csv").write_text(f'A;B\n{name};"x\ny"\n')
+        (tmp_path / f"{name}.csv").write_text(f'A;B\n{name};"x\ny"\n' + f"{name};z\n" * 50)
     (tmp_path / "d.csv").write_text("A;B\nd;z\n")
-    assert [r[0] for r in raw_rows(spark, tmp_path)] == ["a", "b", "c", "d"]
+    (tmp_path / "e.csv").write_text("A;B\n")
+    (tmp_path / "f.csv").write_text('A;B\nf;"' + "\n".join("line" for _ in range(100)) + '"')
+    found = raw_rows(spark, tmp_path)
+    assert len(found) == 3 * 51 + 2
+    assert found[-1] == ("f", "\n".join("line" for _ in range(100)))
+
+
+def text_scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan text")
+
+
+@pytest.mark.parametrize("cell", ["x", '"x\ny"'])
+def test_text_is_scanned_twice(spark, tmp_path, monkeypatch, cell):
+    """One scan for the index and one in the plan that is returned."""
+    (tmp_path / "a.csv").write_text(f"A;B\n1;{cell}\n")
+    scans = []
+    lines = csv_files._lines
+    monkeypatch.setattr(csv_files, "_lines", lambda *a: scans.append(1) or lines(*a))
+    indexed = []
+    index = csv_files.text_index
+    monkeypatch.setattr(csv_files, "text_index", lambda *a: indexed.append(1) or index(*a))
+    table = read_text_table(spark, str(tmp_path))
+    assert len(scans) == len(indexed) == 1 and text_scans(table) == 1
+    parts = index(lines(spark, [str(tmp_path)], "UTF-8"))
+    assert text_scans(parts) == 0  # what is looked up in the index reads no text
+    assert table.count() == 1
+
+
+@pytest.mark.parametrize("cut", [False, True])
+@pytest.mark.parametrize(
+    "body",
+    [
+        "1;" + "y" * 400 + "\n2;z\n",
+        '1;"' + "y\n" * 200 + '"\n2;z\n',
+        '1;pipe 5" wide\n' + "2;y\n" * 200 + '3;pipe 6" wide\n',
+        '1;"a\nb"\n' * 20 + "2;" + "y" * 400 + "\n",
+    ],
+)
+def test_longest_record_wherever_files_are_cut(spark, tmp_path, cut, body, parts):
+    parts(cut)
+    (tmp_path / "a.csv").write_text("A;B\n" + body)
+    with pytest.raises((PySparkException, Py4JJavaError), match="record of more than 300 characters"):
+        read_text_table(spark, str(tmp_path), most_chars=300).collect()
+    if "pipe" not in body:
+        assert read_text_table(spark, str(tmp_path), most_chars=500).count() > 1
+
+
+def test_random_files_at_random_cuts(spark, tmp_path, parts):
+    """Against Python's reader: short and long lines, quotes anywhere, files that hold one part or many."""
+    rng = random.Random(12)
+    expected = []
+    for number in range(4):
+        rows = []
+        for i in range(rng.randrange(1, 20)):
+            words = [rng.choice(["", "a", "\n", '"', ";", "\r\n", "é" * rng.randrange(50)]) for _ in range(rng.randrange(12))]
+            rows.append((f"{number}.{i}", "".join(words), rng.choice(["", "z"])))
+        expected += [tuple(v or None for v in row) for row in rows]
+        with (tmp_path / f"{number}.csv").open("w", encoding="utf-8", newline="") as f:
+            writer = csv.writer(f, delimiter=";", lineterminator=rng.choice(["\n", "\r\n"]))
+            writer.writerows([("id", "te\nxt" * 9, "c"), *rows])
+    for size in ("60", "400"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        found = raw_rows(spark, tmp_path)
+        assert found == sorted(expected, key=repr)
+    parts(False)
 
 
 def test_layer_paths_and_years(spark, tmp_path):
