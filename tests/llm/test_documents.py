@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import words
 from publicspend.llm import line_cleaning, mixing, ngram_join, run_index, sanitise
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -261,53 +262,123 @@ def test_repeats_at_the_edges_of_a_common_passage(spark, monkeypatch, tmp_path):
     assert max(int(p.name.split("-")[0]) for p in tmp_path.iterdir()) <= rules.block
 
 
-def test_mixture(spark, documents, awkward, no_documents):
-    rows = [r.asDict() for r in mixing.mix(documents, mixing.MixRules(block_words=64)).collect()]
-    sizes = [(i, s, len(WORD.findall(t or ""))) for i, t, s in awkward]
-    assert sorted(((r["doc_id"], r["source"], r["size"]) for r in rows), key=repr) == sorted(sizes, key=repr)
+def mixture(rows, rules):
+    """The mix word by word: (doc_id, source, size, taken, first slot, slots) of each row, and the
+    words each source gives, in the order of the schedule."""
+    docs = [(i, s, len(WORD.findall(t or "")), t) for i, t, s in rows]
     whole = Counter()
-    for _, source, size in sizes:
+    for _, source, size, _ in docs:
         whole[source] += size
-    names = sorted((s for s in whole if s is not None)) + [None]
+    names = sorted((s for s in whole if s is not None)) + ([None] if None in whole else [])
     weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
     target, left, total = {}, set(names), sum(whole.values())
     while True:  # what is above stops, the rest is shared anew
         rest = total - sum(target.values())
-        level = rest / sum(weight[s] for s in left)
+        level = rest / sum(weight[s] for s in left) if left else 0
         above = {s for s in left if weight[s] * level > 3 * whole[s]}
         if not above:
             break
         target |= {s: 3 * whole[s] for s in above}
         left -= above
     target |= {s: weight[s] * level for s in left}
+    block = {s: min(rules.block_words, max(1, int(target[s] / rules.least_slots))) for s in names}
+    owes = {s: target[s] / block[s] for s in names}
+    step, circle = mixing.golden_step(), 1 << 31
+    drawn, slots = Counter(), {s: [] for s in names}
+    for slot in range(round(sum(owes.values()))):
+        point, upto = (slot + 1) * step % circle / circle * sum(owes.values()), 0
+        for source in names:
+            upto += owes[source]
+            if point < upto:
+                break
+        slots[source].append(slot)
+        drawn[source] += 1
+    return docs, whole, target, block, slots
+
+
+def test_mixture(spark, documents, awkward, no_documents):
+    rules = mixing.MixRules(block_words=64)
+    rows = mixing.mix(documents, rules).collect()
+    docs, whole, target, block, slots = mixture(awkward, rules)
+    assert sorted(((r.doc_id, r.source, r["size"]) for r in rows), key=repr) == sorted(
+        ((i, s, n) for i, s, n, _ in docs), key=repr
+    )
     taken = Counter()
     for r in rows:
-        assert 0 <= r["taken"] <= 3 * r["size"]
-        assert r["source_size"] == whole[r["source"]]
-        assert r["target"] == pytest.approx(target[r["source"]])
-        taken[r["source"]] += r["taken"]
-    assert all(taken[s] == int(target[s] + 1e-6) for s in names)
-    again = mixing.mix(documents.repartition(5), mixing.MixRules(block_words=64))
-    assert rows_of(again) == sorted((tuple(r.values()) for r in rows), key=repr)
+        assert 0 <= r.taken <= 3 * r["size"] and (r.first_slot is None) == (r.taken == 0)
+        assert r.source_size == whole[r.source] and r.target == pytest.approx(target[r.source])
+        assert r.taken == 0 or r.first_slot in slots[r.source]
+        assert r.n_slots <= len(slots[r.source]) + 3
+        taken[r.source] += r.taken
+    for source, places in slots.items():
+        assert taken[source] == min(len(places) * block[source], 3 * whole[source])
+        assert abs(taken[source] - target[source]) <= max(5 * block[source], 0.02 * target[source])
+    # the first word of each source's stream is read at its first slot
+    first = {}
+    for r in rows:
+        if r.taken:
+            first[r.source] = min(r.first_slot, first.get(r.source, r.first_slot))
+    assert first == {s: places[0] for s, places in slots.items() if s in first}
+    again = mixing.mix(documents.repartition(5), rules)
+    assert rows_of(again) == sorted((tuple(r) for r in rows), key=repr)
     assert mixing.mix(no_documents).count() == 0
 
 
+def test_the_schedule_decides(spark, documents, monkeypatch):
+    before = rows_of(mixing.mix(documents))
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0)
+    assert rows_of(mixing.mix(documents)) != before
+
+
 def test_schedule_is_even(spark):
     """Every stretch of the schedule holds the sources in nearly the wanted shares."""
     docs = spark.createDataFrame(
         [(i, " ".join(["w"] * 40), "abc"[i % 3]) for i in range(900)],
         "doc_id bigint, text string, source string",
     )
-    rules = mixing.MixRules(block_words=50)
+    rules = mixing.MixRules(block_words=50, least_slots=1)
     sources = mixing._blocks(mixing.source_targets(mixing.sizes(docs.select("doc_id", "source", "text")), rules), rules)
     slots = mixing.schedule(sources).orderBy("slot").collect()
-    wanted = {r.sid: r.slots for r in sources.collect()}
-    assert Counter(s.sid for s in slots) == wanted
+    wanted = {r.sid: r.owes for r in sources.collect()}
+    found = Counter(s.sid for s in slots)
+    assert all(abs(found[sid] - n) < 3 for sid, n in wanted.items())
+    assert [s.slot for s in slots] == list(range(len(slots)))
+    for sid in wanted:
+        assert [s["rank"] for s in slots if s.sid == sid] == list(range(found[sid]))
     for start in range(0, len(slots) - 100, 50):
         part = Counter(s.sid for s in slots[start : start + 100])
         assert all(abs(part[sid] - 100 * n / len(slots)) < 5 for sid, n in wanted.items())
 
 
+def test_many_rows_alike(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_COPIES", 7)
+    same = [(1, "a b c", "s")] * 50 + [(None, f"n{i} x", "s") for i in range(30)] + [(3, "z " * 90, "t")]
+    docs = spark.createDataFrame(same, "doc_id bigint, text string, source string")
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 81 and len({r.taken for r in rows if r.doc_id is None}) <= 3
+    docs2, whole, target, block, slots = mixture(same, mixing.MixRules())
+    for source in "st":
+        words = sum(r.taken for r in rows if r.source == source)
+        assert words == min(len(slots[source]) * block[source], 3 * whole[source])
+
+
+def test_mixed_documents_follow_the_schedule(spark):
+    rng = random.Random(6)
+    same = [(i, words(rng, 30), "abcd"[i % 4 if i % 3 else 0]) for i in range(400)]
+    docs = spark.createDataFrame(same, "doc_id bigint, text string, source string")
+    rules = mixing.MixRules(least_slots=40)
+    found = mixing.mixed_documents(docs, rules).collect()
+    mixed = {r.doc_id: r for r in mixing.mix(docs, rules).collect()}
+    counts = Counter(r.doc_id for r in found)
+    assert all(counts[i] == round(m.taken / m["size"]) for i, m in mixed.items() if m.taken % m["size"] * 2 != m["size"])
+    seen, order = set(), []
+    for r in found:
+        if r.doc_id not in seen:
+            seen.add(r.doc_id)
+            order.append(mixed[r.doc_id].first_slot)
+    assert order == sorted(order) and len(order) > 200
+
+
 def test_mixed_documents(spark, documents, awkward):
     clashing = documents.select("doc_id", "text", "source").withColumns(
         {name: F.lit(name) for name in ("_id", "times", "_words", "taken", "of_id")}
