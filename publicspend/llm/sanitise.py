@@ -127,17 +127,32 @@ def _entity(text: str, span: Span) -> str:
 
 
 def _around(text: str, span: Span, window: int) -> list[str]:
-    """The terms within ``window`` words of a mention, without the mention itself.
-
-    Words are looked for in 40 characters for each word; a longer stretch is cut there.
-    """
-    reach = 40 * window
-    before = text[max(0, span[0] - reach) : span[0]].split()[-window:]
-    after = text[span[1] : span[1] + reach].split()[:window]
+    """The terms within ``window`` words of a mention, however long, without the mention itself."""
+    before = _last_words(text, span[0], window)
+    after = _first_words(text, span[1], window)
     terms = _TERM.findall(" ".join([*before, "0", *after]).lower())
     return sorted(set(terms))
 
 
+def _last_words(text: str, end: int, n: int) -> list[str]:
+    """Looks back in growing steps, until the first of the words is known to be whole."""
+    reach = 40 * n
+    while True:
+        found = text[max(0, end - reach) : end].split()
+        if len(found) > n or reach >= end:
+            return found[-n:]
+        reach *= 4
+
+
+def _first_words(text: str, start: int, n: int) -> list[str]:
+    reach = 40 * n
+    while True:
+        found = text[start : start + reach].split()
+        if len(found) > n or start + reach >= len(text):
+            return found[:n]
+        reach *= 4
+
+
 def mentions(docs: DataFrame, window: int) -> DataFrame:
     """(entity, context, text_hash, term): every term near every mention; 64-bit hashes."""
 

@@ -422,6 +422,16 @@ def test_patterns():
     assert sanitise.base_spans("1" * 300_000 + "@" + "a" * 300_000 + "@") == []
 
 
+def test_words_around_a_mention_are_whole():
+    rng = random.Random(2)
+    for _ in range(300):
+        made = ["x" * rng.choice([1, 3, 50, 900]) + str(i) for i in range(rng.randrange(14))]
+        text = "  ".join(made)
+        place = rng.randrange(len(text) + 1)
+        assert sanitise._last_words(text, place, 5) == text[:place].split()[-5:]
+        assert sanitise._first_words(text, place, 5) == text[place:].split()[:5]
+
+
 def test_spans(documents, awkward, no_documents):
     rows = sanitise.digest(sanitise.find_spans(documents)).collect()
     expected = []
