@@ -1,12 +1,15 @@
 """Web archives as a Spark data source, in Python.
 
-Reading plans partitions from the files' sizes, a large plain file in several ranges. A record's
-headers are parsed first; record types and header values that a filter rules out are passed over
+Reading plans partitions from the files' sizes, a large file in several ranges. A record's headers
+are parsed first; record types and header values that a filter rules out are passed over
 without touching the payload, in plain files without reading it. The option ``payload`` set to
 ``false`` does so for all records.
 
 Writing makes one file for each task under a name of its own. Files become part of the archive
-when the job commits, so that retried and lost tasks leave nothing behind.
+when the job commits, so that retried and lost tasks leave nothing behind. Each commit adds a list
+of its files, which is never changed, with a place in every so many bytes where a record begins.
+Ranges are cut at these places alone: payloads may quote whole records, so that no look at a place
+tells whether a record begins there. Files of others have no such list and are read whole.
 
 Paths are opened by ``pyarrow.fs``: local or mounted folders, and the object stores and HDFS it
 knows.
@@ -17,6 +20,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import json
 import re
 import uuid
@@ -44,7 +48,8 @@ from publicspend.llm.common import scratch, stored, take
 
 VERSION = b"WARC/1.1"
 END = b"\r\n\r\n"
-MANIFEST = "_files.json"
+MANIFEST = "_files-"
+MOST_HEADER_BYTES = 1 << 24
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 #: Columns that come from one header each.
@@ -77,13 +82,16 @@ def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def _listed(files: fs.FileSystem, folder: str) -> list[str] | None:
-    """The files of the archive, if it was written here."""
-    path = f"{folder}/{MANIFEST}"
-    if files.get_file_info(path).type != fs.FileType.File:
+def _listed(files: fs.FileSystem, found: list[fs.FileInfo]) -> dict[str, list[int]] | None:
+    """The files of the archive and where their records may be cut, if it was written here."""
+    lists = [f for f in found if f.base_name.startswith(MANIFEST) and f.base_name.endswith(".json")]
+    if not lists:
         return None
-    with files.open_input_stream(path) as stream:
-        return json.loads(stream.read())
+    names: dict[str, list[int]] = {}
+    for each in lists:
+        with files.open_input_stream(each.path) as stream:
+            names |= json.loads(stream.read())
+    return names
 
 
 def _escaped(uri: str) -> str:
@@ -115,31 +123,35 @@ def record_bytes(row: dict) -> bytes:
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, compression: str):
-        self.path, self.compression = path, compression
+    def __init__(self, path: str, compression: str, mark_bytes: int):
+        self.path, self.compression, self.mark_bytes = path, compression, mark_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         files, folder = _file_system(self.path)
         files.create_dir(folder, recursive=True)
         packed = self.compression == "gzip"
         name = f"{uuid.uuid4().hex}.warc" + ".gz" * packed
-        count = 0
+        place, starts = 0, [0]
         with files.open_output_stream(f"{folder}/{name}", compression=None) as out:
             for batch in iterator:
                 for i in range(batch.num_rows):  # payloads are turned into objects one at a time
                     record = record_bytes(batch.slice(i, 1).to_pylist()[0])
-                    out.write(gzip.compress(record, 6) if packed else record)
-                    count += 1
-        return Written(name if count else None)
+                    data = gzip.compress(record, 6) if packed else record
+                    if place - starts[-1] >= self.mark_bytes:
+                        starts.append(place)
+                    out.write(data)
+                    place += len(data)
+        return Written(name if place else None, starts)
 
     def commit(self, messages: list) -> None:
-        """The files named here are the archive."""
+        """The files listed here are part of the archive, once the list is whole."""
         files, folder = _file_system(self.path)
         files.create_dir(folder, recursive=True)
-        names = set(_listed(files, folder) or ())
-        names = sorted(names | {m.name for m in messages if m is not None and m.name})
-        with files.open_output_stream(f"{folder}/{MANIFEST}") as out:
+        names = {m.name: m.starts for m in messages if m is not None and m.name}
+        name = uuid.uuid4().hex
+        with files.open_output_stream(f"{folder}/.{name}") as out:
             out.write(json.dumps(names).encode())
+        files.move(f"{folder}/.{name}", f"{folder}/{MANIFEST}{name}.json")
 
     def abort(self, messages: list) -> None:
         files, folder = _file_system(self.path)
@@ -151,6 +163,7 @@ class _Writer(DataSourceArrowWriter):
 @dataclass
 class Written(WriterCommitMessage):
     name: str | None
+    starts: list[int]
 
 
 @dataclass
@@ -185,22 +198,30 @@ class _Reader(DataSourceReader):
     def partitions(self) -> Sequence[Range]:
         files, folder = _file_system(self.path)
         info = files.get_file_info(folder)
-        if info.type == fs.FileType.File:
-            found = [info]
-        else:
-            listed = files.get_file_info(fs.FileSelector(folder))
-            names = _listed(files, folder)
-            found = [
-                f
-                for f in listed
-                if f.type == fs.FileType.File
-                and (f.base_name in names if names is not None else ".warc" in f.base_name)
-            ]
+        single = info.type == fs.FileType.File
+        found = files.get_file_info(fs.FileSelector(folder.rsplit("/", 1)[0] if single else folder))
+        names = _listed(files, found)
+        known = names or {}
+        chosen = [
+            f
+            for f in found
+            if f.type == fs.FileType.File
+            and (
+                f.path == info.path
+                if single
+                else f.base_name in known
+                if names is not None
+                else ".warc" in f.base_name
+            )
+        ]
         ranges = []
-        for file in sorted(found, key=lambda f: f.path):
-            step = file.size if file.base_name.endswith(".gz") else self.split
-            starts = range(0, file.size, max(1, step))
-            ranges += [Range(file.path, s, min(file.size, s + step)) for s in starts]
+        for file in sorted(chosen, key=lambda f: f.path):
+            cuts = [0]
+            for start in known.get(file.base_name, ()):
+                if start - cuts[-1] >= self.split:
+                    cuts.append(start)
+            ends = [*cuts[1:], file.size]
+            ranges += [Range(file.path, s, e) for s, e in zip(cuts, ends, strict=True) if e > s]
         return ranges or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -228,12 +249,11 @@ class _Reader(DataSourceReader):
 
     def _records(self, source, partition: Range) -> Iterator[tuple]:
         if partition.path.endswith(".gz"):
-            stream, at, size = gzip.GzipFile(fileobj=source), 0, None
+            data = _Stretch(source, partition.start, partition.end)
+            reader, end = _Buffered(gzip.GzipFile(fileobj=data), 0), None
         else:
-            stream, size = source, source.size()
-            at = first_record(source, partition.start, size)
-        reader = _Buffered(stream, at)
-        while size is None or reader.place < partition.end:
+            reader, end = _Buffered(source, partition.start), partition.end
+        while end is None or reader.place < end:
             headers = reader.headers()
             if headers is None:
                 return
@@ -313,7 +333,9 @@ class _Buffered:
     def headers(self) -> dict[str, str] | None:
         if not self.ahead and not self._more():
             return None
-        block = self.until(END, 1 << 24)
+        block = self.until(END, MOST_HEADER_BYTES)
+        if not block.endswith(END):
+            raise ValueError(f"headers at byte {self.place - len(block)} do not end")
         lines = block.decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record at byte {self.place - len(block)}")
@@ -321,50 +343,21 @@ class _Buffered:
         return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
-def first_record(source, start: int, size: int) -> int:
-    """Where the first record at ``start`` or after it begins.
+class _Stretch(io.RawIOBase):
+    """The bytes of a file from ``start`` to ``end``; the members of a packed file can be read so."""
 
-    A place that looks like a record counts only if its headers are whole and another record, or
-    the end of the file, follows where its length says: payloads may quote records.
-    """
-    if not start:
-        return 0
-    mark = END + VERSION[:5]
-    place = max(0, start - len(END))
-    ahead = b""
-    while True:
-        at = ahead.find(mark)
-        if at < 0:
-            keep = max(0, len(ahead) - len(mark) + 1)
-            place += keep
-            source.seek(place + len(ahead) - keep)
-            data = source.read(1 << 20)
-            if not data:
-                return size
-            ahead = ahead[keep:] + data
-            continue
-        begin = place + at + len(END)
-        if begin >= start and _is_record(source, begin, size):
-            return begin
-        place, ahead = place + at + 1, ahead[at + 1 :]
-        source.seek(place + len(ahead))
-
-
-def _is_record(source, begin: int, size: int) -> bool:
-    """Whether a chain of three records, or one up to the end of the file, starts here."""
-    for _ in range(3):
-        reader = _Buffered(source, begin)
-        try:
-            headers = reader.headers()
-            length = int(headers["content-length"])
-        except (ValueError, KeyError, TypeError):
-            return False
-        begin = reader.place + length + len(END)
-        if "warc-record-id" not in headers or begin > size:
-            return False
-        if begin == size:
-            return True
-    return True
+    def __init__(self, source, start: int, end: int):
+        source.seek(start)
+        self.source, self.left = source, end - start
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.source.read(min(len(buffer), self.left))
+        buffer[: len(data)] = data
+        self.left -= len(data)
+        return len(data)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -378,7 +371,8 @@ class WarcDataSource(DataSource):
     """``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
     Options: ``path``; to read ``payload`` and ``splitBytes``; to write ``compression``
-    (``none`` or ``gzip``, a member for each record).
+    (``none`` or ``gzip``, a member for each record) and ``markBytes``, how far apart the places
+    are at which a file may be cut. Headers of more than 16 MiB are refused.
 
     Load anew for each query: Spark keeps the filters that were pushed down with the loaded table,
     and a later query over the same DataFrame would meet them again.
@@ -395,7 +389,8 @@ class WarcDataSource(DataSource):
         return _Reader(dict(self.options))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], self.options.get("compression", "none"))
+        marks = int(self.options.get("markbytes", 1 << 20))
+        return _Writer(self.options["path"], self.options.get("compression", "none"), marks)
 
 
 def register(spark: SparkSession) -> None:
@@ -465,35 +460,47 @@ def base32(digest: F.Column) -> F.Column:
     return F.concat(*digits)
 
 
-def write_archive(records: DataFrame, path: str, compression: str = "none") -> None:
+def write_archive(
+    records: DataFrame, path: str, compression: str = "none", mark_bytes: int = 1 << 20
+) -> None:
     register(records.sparkSession)
-    records.write.format("warc").option("compression", compression).mode("append").save(path)
+    options = {"compression": compression, "markBytes": str(mark_bytes)}
+    records.write.format("warc").options(**options).mode("append").save(path)
 
 
-def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_archive(
+    spark: SparkSession, path: str, payload: bool = True, split_bytes: int = 64 << 20
+) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    options = {"payload": str(payload).lower(), "splitBytes": str(split_bytes)}
+    return spark.read.format("warc").options(**options).load(path)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, compression: str = "none") -> DataFrame:
     """``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to`` of
     every page, as read back from an archive of them.
 
-    Size and digest of responses are taken from the payload that was read; revisits have none,
-    so theirs are from their headers. An empty table gives an empty archive and no rows.
+    Responses are read with their payloads, of which size and digest are taken; revisits have
+    none, so they are read without, and both are from their headers. Each read pushes its record
+    type down. An empty table gives an empty archive and no rows.
     """
     spark = pages.sparkSession
     path = scratch(spark, "warc")
     write_archive(records_of(pages, least_bytes), path, compression)
-    records = read_archive(spark, path)
+    responses = read_archive(spark, path).where("record_type = 'response'")
+    revisits = read_archive(spark, path, payload=False).where("record_type = 'revisit'")
     length = F.regexp_extract("http_headers", "(?i)content-length: *([0-9]+)", 1).cast("bigint")
-    own = F.col("payload").isNotNull()
-    digest = F.when(own, base32(F.unhex(F.sha1("payload")))).otherwise(F.col("payload_digest"))
-    size = F.when(own, F.length("payload").cast("bigint")).otherwise(length)
-    return records.select(
-        _number(F.col("record_id")).alias("page_id"),
-        size.alias("payload_bytes"),
-        digest.alias("payload_digest"),
-        "record_type",
-        _number(F.col("refers_to")).alias("refers_to"),
+
+    def read(records: DataFrame, size: F.Column, digest: F.Column) -> DataFrame:
+        return records.select(
+            _number(F.col("record_id")).alias("page_id"),
+            size.alias("payload_bytes"),
+            digest.alias("payload_digest"),
+            "record_type",
+            _number(F.col("refers_to")).alias("refers_to"),
+        )
+
+    own = read(
+        responses, F.length("payload").cast("bigint"), base32(F.unhex(F.sha1("payload")))
     )
+    return own.union(read(revisits, length, F.col("payload_digest")))

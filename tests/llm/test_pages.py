@@ -1,6 +1,9 @@
 """Operators on pages and vectors against brute force."""
 
 import base64
+import io
+import os
+import shutil
 import hashlib
 import random
 
@@ -63,7 +66,7 @@ def test_warc_of_an_empty_table(spark, pages):
 @pytest.mark.parametrize("split", [900, 20_000, 1 << 30])
 def test_warc_splits_and_filters(spark, pages, split):
     path = warc.scratch(spark, "test")
-    warc.write_archive(warc.records_of(pages), path)
+    warc.write_archive(warc.records_of(pages), path, mark_bytes=300)
     warc.write_archive(warc.records_of(pages.where("page_id = 8")), path)  # a second part
     warc.register(spark)
 
@@ -81,6 +84,65 @@ def test_warc_splits_and_filters(spark, pages, split):
     assert read("false").count() == pages.count() + 1
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_warc_payloads_that_quote_records(spark, compression):
+    """Chains of whole records in a payload are never read as records, wherever files are cut."""
+    quoted = b"".join(
+        warc.record_bytes(
+            {
+                "record_type": "response", "record_id": f"<urn:page:{90 + i}>", "target_uri": "u",
+                "refers_to": None, "payload_digest": None, "payload_length": 150, "payload": b"q" * 150,
+            }
+        )
+        for i in range(4)
+    )
+    bodies = {1: b"x" * 700, 2: b"\r\n\r\n" + quoted, 3: quoted * 3, 4: b"end" * 400, 5: b""}
+    rows = [(i, "u", body.decode()) for i, body in bodies.items()]
+    docs = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    path = warc.scratch(spark, "quoted")
+    warc.write_archive(warc.records_of(docs), path, compression, mark_bytes=100)
+    counts = set()
+    for split in (1, 300, 600, 900, 2500, 1 << 30):
+        table = warc.read_archive(spark, path, split_bytes=split)
+        counts.add(table.rdd.getNumPartitions())
+        found = {r.record_id: bytes(r.payload) for r in table.collect()}
+        assert found == {f"<urn:page:{i}>": body for i, body in bodies.items()}
+    assert len(counts) > 2 and max(counts) >= 4
+    # the same files without their list, as others write them
+    (name,) = [f for f in os.listdir(path) if ".warc" in f]
+    other = warc.scratch(spark, "foreign")
+    os.makedirs(other)
+    shutil.copy(f"{path}/{name}", f"{other}/{name}")
+    assert warc.read_archive(spark, other, split_bytes=300).count() == len(bodies)
+    assert warc.read_archive(spark, f"{path}/{name}", split_bytes=300).count() == len(bodies)
+
+
+def test_warc_headers_without_end(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_HEADER_BYTES", 1 << 10)
+    reader = warc._Buffered(io.BytesIO(b"WARC/1.1\r\nA: " + b"x" * 5000), 0)
+    with pytest.raises(ValueError, match="headers at byte 0 do not end"):
+        reader.headers()
+
+
+def test_warc_reads_of_the_query_are_filtered(spark, pages, monkeypatch):
+    seen = []
+    pushed = warc._Reader.pushFilters
+
+    def push(self, filters):
+        kept = list(pushed(self, filters))
+        seen.append((self.with_payload, dict(self.wanted)))
+        return iter(kept)
+
+    reader = warc._Reader({"path": "/nowhere", "payload": "false"})
+    monkeypatch.setattr(warc._Reader, "pushFilters", push)
+    from pyspark.sql.datasource import EqualTo
+
+    list(reader.pushFilters([EqualTo(("record_type",), "revisit")]))
+    assert seen == [(False, {"warc-type": frozenset(["revisit"])})]
+    plan = warc.round_trip(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "record_type" in plan and "Filter (record_type" not in plan.replace("#", "")
+
+
 def test_warc_filters_reach_the_reader(spark, pages):
     reader = warc._Reader({"path": "/nowhere"})
     from pyspark.sql.datasource import EqualTo, GreaterThan, In
