@@ -3,8 +3,10 @@
 Markup is stripped and every block of the page becomes a line. A line weighs as many characters
 as it has outside links; lines of menus, forms, notices and the like weigh nothing. The sums of
 weights over a sliding window rise in the article (the surge) and fall to nothing where it ends, on
-both sides (the dive). The lines between are its text. Blank lines do not count. Article and main elements bound the stretches
-and join those in them, but a surge decides whether their text is taken at all.
+both sides (the dive). The lines between are its text. Blank lines do not count. Article and main
+elements bound the stretches and join those in them, but a surge decides whether their text is taken
+at all. In them an element whose class only hints at something else, as in ``comment-list``, is left
+out unless it holds most of their text.
 """
 
 from __future__ import annotations
@@ -42,6 +44,14 @@ NOTES = frozenset(
     "subscribe subscription popup modal widget login signup search complementary contentinfo "
     "toolbar".split()
 )
+#: Words for parts of a page. A name made of these and of notes hints at an element's place, while
+#: with other words it may be a subject of the article, as in ``navigation-systems``.
+PARTS = frozenset(
+    "list listing area section container wrapper wrap box block panel group button buttons bar row "
+    "col column signup form post posts article articles story stories link links item items entry "
+    "page site main content body inner outer js top bottom left right head title thread feed count "
+    "icon icons unit slot zone us this now more user users reader readers".split()
+)
 #: The same, but only outside articles.
 OUTER_NOTES = frozenset(("header", "masthead", "topbar"))
 
@@ -58,6 +68,7 @@ _TOKENS = re.compile(
     r"(?<![\w-])(?:class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I
 )
 _WORDS = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"([a-z])([A-Z])")
 
 
 @dataclass(frozen=True)
@@ -74,28 +85,37 @@ class BlockRules:
 class _Line:
     text: str
     plain: int
-    aside: bool
+    aside: int  # NOT, HINTED or SURE
     container: int  # number of the outermost article or main element, 0 outside
 
 
-def _noted(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element starts something beside the article.
+NOT, HINTED, SURE = range(3)
+
+
+def _noted(tag: str, attributes: str, inside: bool) -> int:
+    """How surely an element starts something beside the article.
 
     Outside articles any word of a class, id or role tells; the id of a heading, say, may be any
-    word of its text, so inside only a whole class or role of an element that holds blocks does.
+    word of its text, so inside only a class or role of an element that holds blocks does. A whole
+    class is sure, a word of one is a hint.
     """
     if tag in ASIDE or (tag == "header" and not inside):
-        return True
+        return SURE
     if inside:
-        return tag in HOLDERS and any(
-            not NOTES.isdisjoint((mark[1] or mark[2] or mark[3] or "").lower().split())
-            for mark in _TOKENS.finditer(attributes)
-        )
+        found = NOT
+        for mark in _TOKENS.finditer(attributes) if tag in HOLDERS else ():
+            for name in (mark[1] or mark[2] or mark[3] or "").split():
+                if name.lower() in NOTES:
+                    return SURE
+                words = set(_WORDS.findall(_HUMP.sub(r"\1 \2", name).lower()))
+                if words & NOTES and words <= NOTES | PARTS:
+                    found = HINTED
+        return found
     for mark in _MARKS.finditer(attributes):
         words = set(_WORDS.findall((mark[1] or mark[2] or mark[3] or "").lower()))
         if words & NOTES or words & OUTER_NOTES:
-            return True
-    return False
+            return SURE
+    return NOT
 
 
 def lines_of(page: str) -> list[_Line]:
@@ -105,11 +125,14 @@ def lines_of(page: str) -> list[_Line]:
     plain = links = containers = opened = 0
     aside: str | None = None  # the element that started a stretch beside the article
     depth = place = 0
+    sure = NOT  # how surely it does
+    within = ""  # of a hint, an element inside that is sure
+    deeper = 0
 
     def close() -> None:
         nonlocal plain
         text = " ".join("".join(parts).split())
-        lines.append(_Line(text, plain, aside is not None, opened if containers else 0))
+        lines.append(_Line(text, plain, SURE if within else sure, opened if containers else 0))
         parts.clear()
         plain = 0
 
@@ -141,13 +164,18 @@ def lines_of(page: str) -> list[_Line]:
         if tag in VOID or attributes.endswith("/"):
             continue
         if aside is not None:
+            if tag == within:
+                deeper += -1 if end else 1
+                within = within if deeper else ""
+            elif sure == HINTED and not within and not end and _noted(tag, attributes, True) == SURE:
+                within, deeper = tag, 1
             if tag == aside:
                 depth += -1 if end else 1
                 if depth == 0:
-                    aside, links = None, 0
+                    aside, links, sure, within = None, 0, NOT, ""
             elif tag in CONTAINERS and not end and not _noted(tag, attributes, False):
-                aside, links = None, 0  # the element before was not closed
-        elif not end and _noted(tag, attributes, containers > 0):
+                aside, links, sure, within = None, 0, NOT, ""  # the element before was not closed
+        elif not end and (sure := _noted(tag, attributes, containers > 0)):
             aside, depth = tag, 1
         if aside is None and tag in CONTAINERS:
             opened += not end and not containers
@@ -164,6 +192,7 @@ def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
     are one sequence. Where all text stands in links, that in these elements is weighed.
     """
     lines = [line for line in lines_of(page or "") if line.text]
+    _settle_hints(lines)
     weights = [0 if line.aside else line.plain for line in lines]
     if not any(weights):
         weights = [len(line.text) if line.container and not line.aside else 0 for line in lines]
@@ -187,6 +216,19 @@ def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
     return "\n".join(lines[i].text for i in sorted(kept) if not lines[i].aside)
 
 
+def _settle_hints(lines: list[_Line]) -> None:
+    """A hint counts if what it speaks of is less than half of the text of its article."""
+    held: dict[int, list[int]] = {}
+    for line in lines:
+        if line.container and line.aside != SURE:
+            both = held.setdefault(line.container, [0, 0])
+            both[line.aside == HINTED] += line.plain
+    for line in lines:
+        if line.aside == HINTED:
+            plain, hinted = held[line.container]
+            line.aside = SURE if hinted < plain else NOT
+
+
 def _sums(weights: list[int], window: int) -> list[int]:
     return [sum(weights[i : i + window]) for i in range(len(weights))]
 

@@ -282,6 +282,30 @@ def test_containers_do_not_decide_alone():
     assert main_text.main_text('<nav>Menu</nav><main><a href="x">All in a link</a></main>') == "All in a link"
 
 
+@pytest.mark.parametrize(
+    "name",
+    "comment-list comments-area post-comments related-posts ad-container share-buttons cookie-banner "
+    "newsletter-signup socialShare js-comment_item entry__related".split(),
+)
+def test_compound_classes_in_articles(name):
+    text = "A long paragraph of the article, which goes on for a good while and says a lot. " * 3
+    page = (
+        f"<article><h1>Title</h1><p>{text}</p><div class='x {name}'><p>Not this, said a reader.</p>"
+        f"<div class='inner'><p>Nor this.</p></div></div><p>{text}</p></article>"
+    )
+    assert main_text.main_text(page) == "\n".join(["Title", text.strip(), text.strip()])
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-ads", "with_menu", "sidebar-layout", "page-widget"])
+def test_names_of_a_layout_do_not_drop_the_text(name):
+    text = "A long paragraph of the article, which goes on for a good while and says a lot. " * 3
+    page = (
+        f"<article><h1>Title</h1><div class='{name}'><p>{text}</p><nav>menu</nav>"
+        f"<div class='comments'><p>a reader</p></div><p>{text}</p></div></article>"
+    )
+    assert main_text.main_text(page) == "\n".join(["Title", text.strip(), text.strip()])
+
+
 def test_short_blocks_stay_with_their_text():
     long = "A paragraph that is long enough to be the text of a page by itself, and then some more of it."
     wrapped = ["A title", "By someone", "1 May", long, "A cell", "Another cell", long, "The end."]
