@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -66,6 +67,15 @@ def slices(
             start, done = stop, ends[stop - 1]
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses, perhaps since an earlier stage, back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def mapped(
     df: DataFrame,
     column: str,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from publicspend.llm.line_cleaning import PHRASES, TERMINAL, LineRules
-from publicspend.llm.url_reputation import LOWER, RULES, UPPER, Reputation
+from publicspend.llm.url_reputation import LOWER, MARKS, RULES, UPPER, Reputation
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -34,11 +34,14 @@ def url_reputation(rules: Reputation = Reputation()) -> str:
     long = ", ".join(f"'{s}'" for s in rules.long_suffixes)
     return f"""
         WITH given AS (SELECT page_id, url, strpos(url, '://') AS mark,
+                regexp_replace(html, '<[^>]*>', ' ', 'g') AS plain,
                 row_number() OVER () AS row FROM pages),
         split AS (SELECT *, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest
             FROM given),
         parsed AS (
             SELECT row, page_id,
+                (length(plain) - length(translate(plain, '{MARKS}', '')) > 0.02 * length(plain))::INTEGER
+                    AS junk,
                 translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
                 regexp_extract(rest, '^[^/?#]*(/[^?#]*)?', 1) AS path FROM split),
         rules(rule_host, rule_path, rule, verdict) AS (VALUES {values}),
@@ -48,8 +51,7 @@ def url_reputation(rules: Reputation = Reputation()) -> str:
                     AND starts_with(path, rule_path)
             QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(rule) DESC) = 1),
         found AS (
-            SELECT host, count(*)::DOUBLE AS n, sum(1 - quality)::DOUBLE AS bad
-            FROM parsed JOIN labels ON doc_id = page_id WHERE quality IS NOT NULL GROUP BY host),
+            SELECT host, count(junk)::DOUBLE AS n, sum(junk)::DOUBLE AS bad FROM parsed GROUP BY host),
         named AS (
             SELECT host, string_split(host, '.') AS parts,
                 array_to_string(parts[-2:], '.') AS two, two IN ({long}) AS is_long,

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from publicspend.llm.common import mapped, stored, take
+from publicspend.llm.common import mapped, release, slices, stored, take
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 15
@@ -346,6 +346,8 @@ def _checked(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "text_hash", "ids").mapInArrow(run, ENCODED)
 
 
+#: Text that is encoded at once.
+ENCODED_BYTES = 1 << 19
 ENCODED = "doc_id bigint, ids array<int>, lossless boolean"
 
 
@@ -366,18 +368,23 @@ def encode(
     """
     rows = take(docs, doc_id=id_column, text=text_column)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [text or "" for text in batch.column(1).to_pylist()]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model = pieces(path)
-        ids = model.whole(texts)
-        same = [a == b for a, b in zip(model.model.decode(ids), texts, strict=True)] if ids else []
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
-            ["doc_id", "ids", "lossless"],
-        )
+        for batch in batches:
+            # ids are lists of Python numbers, many times the size of their text
+            for piece in slices([batch], "text", ENCODED_BYTES):
+                texts = [text or "" for text in piece.column(1).to_pylist()]
+                ids = model.whole(texts)
+                same = [a == b for a, b in zip(model.model.decode(ids), texts, strict=True)] if ids else []
+                columns = [piece.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+                del texts, ids, piece
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "lossless"])
+            del batch, columns
+            release()
 
     giant = F.coalesce(F.length("text"), F.lit(0)) >= 2 * chunk
-    short = mapped(rows.where(~giant), "text", ENCODED, run)
+    short = rows.where(~giant).mapInArrow(run, ENCODED)
     numbered = rows.where(giant).withColumn("row", F.monotonically_increasing_id())
     chunks = stored(_chunks(numbered.select("row", "doc_id", "text"), path, chunk), "chunks")
     return short.union(_checked(_encoded_chunks(chunks, path), path))

@@ -32,11 +32,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    """The label of the document with a page's number is the page's outcome."""
-    labels = table(spark, folder, "labels").select(
-        F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad")
-    )
-    return url_reputation.judge_urls(table(spark, folder, "pages"), labels)
+    """A page's own text is its outcome: whether it is full of signs that prose seldom has."""
+    pages = table(spark, folder, "pages")
+    return url_reputation.judge_urls(pages.withColumn("bad", url_reputation.junk(F.col("html"))))
 
 
 def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,8 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from publicspend.llm.common import take
+from publicspend.llm.common import stored, take
 
+MARKS = "#*$%|"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -147,6 +148,14 @@ def _shrunk(children: DataFrame, parents: DataFrame, parent: str, rules: Reputat
     return joined.withColumn("a", a).withColumn("b", b).withColumn("mean", a / (a + b))
 
 
+def junk(html: Column, share: float = 0.02) -> Column:
+    """The outcome of a page by its own text: 1 if over ``share`` of it are signs that prose seldom
+    has, 0 if not, null for a null page."""
+    text = F.regexp_replace(html, "<[^>]*>", " ")
+    marks = F.char_length(text) - F.char_length(F.translate(text, MARKS, ""))
+    return (marks > share * F.char_length(text)).cast("int")
+
+
 def host_reputation(outcomes: DataFrame, hosts: DataFrame, rules: Reputation) -> DataFrame:
     """``host``, ``mean``, ``lower`` of every host.
 
@@ -154,18 +163,21 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, rules: Reputation) ->
     Both are summed by host before anything else, so that a host with most of the pages is a
     row like others.
     """
-    found = outcomes.groupBy("host").agg(
-        F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad")
+    none = F.lit(None).cast("int").alias("bad")
+    return _reputation(_counted(outcomes.select("host", "bad").union(hosts.select("host", none))), rules)
+
+
+def _counted(outcomes: DataFrame) -> DataFrame:
+    """Labelled pages ``n`` and those of them that are ``bad``, one row for each host."""
+    bad = F.coalesce(F.sum("bad"), F.lit(0))
+    return outcomes.groupBy("host").agg(
+        F.count("bad").cast("double").alias("n"), bad.cast("double").alias("bad")
     )
+
+
+def _reputation(counted: DataFrame, rules: Reputation) -> DataFrame:
     suffix, domain = _levels(F.col("host"), rules)
-    named = (
-        hosts.select("host")
-        .distinct()
-        .join(found, "host", "left")
-        .fillna(0.0, ["n", "bad"])
-        .withColumn("suffix", suffix)
-        .withColumn("domain", domain)
-    )
+    named = counted.withColumn("suffix", suffix).withColumn("domain", domain)
     domains = named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("mean")).withColumn(
@@ -181,13 +193,15 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, rules: Reputation) ->
 
 def judge_urls(
     pages: DataFrame,
-    labels: DataFrame,
+    labels: DataFrame | None = None,
     rules: Sequence[Rule] = RULES,
     reputation: Reputation = Reputation(),
+    outcome: str = "bad",
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule`` and ``verdict`` of every page.
 
-    ``pages`` has ``page_id`` and ``url``, ``labels`` has ``page_id`` and ``bad``. A null url, or
+    ``pages`` has ``page_id`` and ``url``, ``labels`` has ``page_id`` and ``bad``; without them the
+    column ``outcome`` of ``pages`` says whether a page is bad. A null url, or
     one without ``://``, has an empty host and path, fits no rule and counts as a host of its own.
     Labels without a page, null labels and null ids take no part; a page with several labels
     counts each. Repeated rows, and pages with null ids, are judged row by row. ``rules`` are a
@@ -196,9 +210,15 @@ def judge_urls(
     rows = take(pages, page_id="page_id", url="url").select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )
-    given = take(labels, page_id="page_id", bad="bad").where("bad IS NOT NULL")
-    outcomes = rows.select("page_id", "host").join(given, "page_id").select("host", "bad")
-    hosts = host_reputation(outcomes, rows.select("host"), reputation)
+    if labels is None:
+        own = take(pages, url="url", bad=outcome)
+        outcomes = own.select(host_of(F.col("url")).alias("host"), F.col("bad").cast("int").alias("bad"))
+    else:
+        given = take(labels, page_id="page_id", bad="bad").where("bad IS NOT NULL")
+        outcomes = rows.select("page_id", "host").join(given, "page_id").select("host", "bad")
+        outcomes = outcomes.union(rows.select("host", F.lit(None).cast("int")))
+    counted = stored(_counted(outcomes), "hosts")  # one row for each host; the pages are read once
+    hosts = _reputation(counted, reputation)
     block = F.col("lower") > reputation.threshold
     blocked = hosts.where(block).select(F.col("host").alias("_host"))
     ruled = rows.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))

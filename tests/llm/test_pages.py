@@ -193,6 +193,32 @@ def test_urls(spark, pages):
     assert url_reputation.judge_urls(pages, labels, rules=()).where("rule IS NOT NULL").isEmpty()
 
 
+def test_hosts_are_blocked_by_their_pages(spark):
+    """End to end: junk pages block their host, and a small host of a bad domain with it."""
+    junk, prose = "<p>" + "buy%%% now### $$$ " * 20 + "</p>", "<p>plain words, and more of them</p>"
+    rows = [("bad.spam.com", junk)] * 60 + [("bad.spam.com", prose)] * 4
+    rows += [(f"h{i}.spam.com", junk) for i in range(40)] + [("new.spam.com", None)]
+    rows += [("good.fine.com", prose)] * 60 + [("good.fine.com", junk)] * 3 + [("one.fine.com", junk)]
+    rows += [("a.example.net", junk)] * 5 + [("b.example.net", prose)] * 5
+    pages = spark.createDataFrame(
+        [(i, f"http://{host}/{'en' if i % 2 else 'de'}/p", html) for i, (host, html) in enumerate(rows)],
+        "page_id bigint, url string, html string",
+    )
+    outcome = pages.withColumn("bad", url_reputation.junk(F.col("html")))
+    found = url_reputation.judge_urls(outcome)
+    by_host = {r.host: set(r.verdicts) for r in found.groupBy("host").agg(F.collect_set("verdict").alias("verdicts")).collect()}
+    assert by_host["bad.spam.com"] == {"block"} and by_host["good.fine.com"] == {"allow"}
+    assert by_host["h7.spam.com"] == by_host["new.spam.com"] == {"block"}
+    assert by_host["one.fine.com"] == {"allow"}  # one page does not condemn it
+    assert {(r.host, r.verdict) for r in found.where("rule = 'net/'").collect()} == {
+        ("a.example.net", "block"), ("b.example.net", "block"),
+    }
+    # the same from labels by page
+    labels = outcome.select("page_id", "bad")
+    again = url_reputation.judge_urls(pages.select("page_id", "url"), labels)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, found.collect()), key=repr)
+
+
 def shrunk(levels, rules):
     """Posterior mean and lower bound of each host, by plain loops."""
     n, bad = (sum(x[i] for x in levels.values()) for i in (0, 1))
