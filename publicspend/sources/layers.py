@@ -174,10 +174,14 @@ def query_clean(
 
 
 def query_tables(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
-    """Run SQL over named DataFrames."""
+    """Run SQL over named DataFrames, whose names are free again afterwards."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    try:
+        return spark.sql(sql)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
 
 
 def snapshots(spark: SparkSession, base: str) -> list[str]:
