@@ -378,9 +378,8 @@ def encode(
                 ids = model.whole(texts)
                 same = [a == b for a, b in zip(model.model.decode(ids), texts, strict=True)] if ids else []
                 columns = [piece.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
-                del texts, ids, piece
+                del texts, ids
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "lossless"])
-            del batch, columns
             release()
 
     giant = F.coalesce(F.length("text"), F.lit(0)) >= 2 * chunk
