@@ -163,7 +163,12 @@ def clean_lines(
 
 
 def cleaned_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """The documents that pass, with all their columns; failing lines are gone from ``text``."""
+    """The documents that pass, with all their columns; failing lines are gone from ``text``.
+
+    ``docs`` must have ``text`` and ``n_chars``, which is set anew; other columns, of whatever
+    names, are passed on. Null and empty texts fail. Repeated rows and rows without an id are judged
+    each by itself; an empty table stays empty. Memory grows with the longest text only.
+    """
     text, chars = docs.columns.index("text"), docs.columns.index("n_chars")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

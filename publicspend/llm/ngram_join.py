@@ -480,7 +480,9 @@ def _members(rows: DataFrame, rules: JoinRules) -> DataFrame:
 def first_of_each_group(docs: DataFrame, rules: JoinRules = JoinRules()) -> DataFrame:
     """The documents without near duplicates: of each component one row with the smallest id.
 
-    Texts without words are linked with nothing and all stay.
+    Texts without words, null ones too, are linked with nothing and all stay. Rows that share an id,
+    or have none, are documents of their own, but of rows alike in id and text one stays. Other
+    columns are passed on unless their names start with ``_llm_``; an empty table stays empty.
     """
     members = _members(take(docs, doc_id="doc_id", text="text"), rules)
     stay = members.where("stays").select(

@@ -369,6 +369,9 @@ def sanitised_documents(
     """The documents with every span replaced by its kind, as in ``<EMAIL>``, and ``n_chars`` anew.
 
     Where spans overlap, the whole stretch takes the kind of the first. Null text stays null.
+    ``docs`` must have ``doc_id``, ``text`` and ``n_chars``; other columns are passed on unless their
+    names start with ``_llm_``. Repeated rows, shared and null ids are handled row by row; an empty
+    table stays empty.
     """
     shared, terms = _known_terms(take(docs, doc_id="doc_id", text="text"), rules, broadcast_terms)
     text, chars = docs.columns.index("text"), docs.columns.index("n_chars")
