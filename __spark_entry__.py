@@ -259,8 +259,8 @@ def published_versions(spark: SparkSession, folder: str) -> DataFrame:
     once refused by its contract."""
     path = f"{_scratch(spark, 'published_versions')}/registro.parquet"
     projects = Proxy(spark, folder).projects().select("cup", "anno_decisione")
-    layers.write_table(projects.where("anno_decisione < 1995"), path)
     layers.write_table(projects.where("anno_decisione < 1997"), path)
+    layers.write_table(projects.where("anno_decisione < 1999"), path)
     tables.stage(projects, path)
     try:
         layers.write_table(projects, path, watch=Watch(Contract(min_rows=10**12)))
@@ -282,7 +282,7 @@ def layer_years_widened(spark: SparkSession, folder: str) -> DataFrame:
     projects = Proxy(spark, folder).projects().select("cup", "anno_decisione", "costo_progetto")
     years = [row[0] for row in projects.select("anno_decisione").distinct().collect()]
     for year in years:
-        kind = "int" if int(year) < 1995 else "double"
+        kind = "int" if int(year) < 1998 else "double"
         part = projects.where(F.col("anno_decisione") == year)
         stored = part.withColumn("costo_progetto", F.col("costo_progetto").cast(kind))
         layers.write_table(stored, layers.clean_path(root, "progetti", int(year)))

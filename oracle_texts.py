@@ -634,12 +634,12 @@ def oracle_sql() -> dict[str, str]:
         "published_versions": text(
             """SELECT anno_decisione, count(*) AS n_cup, 2::BIGINT AS n_versions,
                 sum(count(*)) OVER ()::BIGINT AS n_counted
-            FROM projects WHERE anno_decisione::INTEGER < 1997 GROUP BY 1""",
+            FROM projects WHERE anno_decisione::INTEGER < 1999 GROUP BY 1""",
             ["projects"],
         ),
         "layer_years_widened": text(
             f"""SELECT anno_decisione, 'double' AS tipo, count(*) AS n_cup,
-                {rnd("sum(if(anno_decisione::INTEGER < 1995, trunc(costo_progetto), costo_progetto))", 2)}
+                {rnd("sum(if(anno_decisione::INTEGER < 1998, trunc(costo_progetto), costo_progetto))", 2)}
                     AS costo
             FROM projects GROUP BY 1""",
             ["projects"],
