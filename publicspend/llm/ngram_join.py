@@ -157,8 +157,11 @@ def describe(docs: DataFrame, rules: JoinRules) -> DataFrame:
             names,
         )
 
-    # a partition must hold many documents to see what is common
-    wide = docs.coalesce(4 * docs.sparkSession.sparkContext.defaultParallelism)
+    # a partition must hold many documents to see what is common; but under dynamic allocation the
+    # cores of now say little, so tasks are at least a quarter of a shuffle's, which follow the input
+    spark = docs.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wide = docs.coalesce(max(4 * spark.sparkContext.defaultParallelism, shuffled // 4))
     return wide.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, schema)
 
 
