@@ -80,7 +80,7 @@ def write_table(
         df = df.repartition(buckets.count, buckets.column)
     counted = watch or quality.Watch()
     version = tables.stage(counted.over(df), path, buckets, lookup)
-    found = Facts(df.schema.json(), counted.rows, counted.keys, buckets)
+    found = Facts(tables.schema_text(df.schema), counted.rows, counted.keys, buckets)
     tables.note(spark, path, version, found)
     quality.enforce_rows([*counted.checks(), *more()])
     if check:

@@ -49,6 +49,14 @@ class Facts:
     buckets: Buckets | None = None
 
 
+def schema_text(schema: StructType) -> str:
+    """The schema as it will be read: Parquet files do not hold that a value is never missing."""
+    text = schema.json()
+    for name in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{name}":false', f'"{name}":true')
+    return text
+
+
 def version_path(path: str, version: str) -> str:
     return f"{path}/{VERSIONS}/{version}"
 
@@ -75,7 +83,7 @@ def stage(df: DataFrame, path: str, buckets: Buckets | None = None, lookup: str
     spark = df.sparkSession
     number = max(map(_number, versions(spark, path)), default=0) + 1
     version = f"{number:08d}-{uuid.uuid4().hex[:12]}"
-    place = version_path(path, version)
+    place = _whole_path(spark, version_path(path, version))
     writer = df.write.format("parquet").option("compression", "zstd")
     if lookup:
         writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
@@ -132,16 +140,17 @@ def facts(spark: SparkSession, path: str, version: str | None = None) -> Facts |
 
 
 def read_version(spark: SparkSession, path: str, version: str) -> DataFrame:
-    place = version_path(path, version)
+    place = _whole_path(spark, version_path(path, version))
     known = facts(spark, path, version)
     schema = StructType.fromJson(json.loads(known.schema))
     if known.buckets is None:
         return spark.read.schema(schema).parquet(place)
     name = f"publicspend_{uuid.uuid4().hex}"
     column = f"`{known.buckets.column}`"
+    location = place.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet CLUSTERED BY ({column}) "
-        f"SORTED BY ({column}) INTO {known.buckets.count} BUCKETS LOCATION '{place}'"
+        f"SORTED BY ({column}) INTO {known.buckets.count} BUCKETS LOCATION '{location}'"
     )
     try:
         return spark.table(name)
@@ -199,5 +208,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def _whole_path(spark: SparkSession, path: str) -> str:
+    """With its store and from the root, as a catalog would take another place as the start."""
+    place = _path(spark, path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)

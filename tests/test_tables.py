@@ -134,6 +134,21 @@ def test_empty_tables(spark, tmp_path):
         assert layers.row_count(spark, path) == 0 and tables.facts(spark, path).keys == 0
 
 
+def test_odd_names_of_folders_and_columns(spark, tmp_path, monkeypatch):
+    """Quotes, blanks and signs in paths and names, and a path without a root."""
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "`cod``e; x` string, `a.b` int")
+    path = f"{tmp_path}/it's a \u00e8 folder/t.parquet"
+    stored = layers.write_table(df, path, watch=Watch(key=("`cod``e; x`",)), buckets=None)
+    assert sorted(map(tuple, stored.collect())) == [("a", 1), ("b", 2)]
+    named = df.toDF("cup", "n")
+    stored = layers.write_table(named, path, buckets=Buckets("cup", 2))
+    assert sorted(map(tuple, stored.collect())) == [("a", 1), ("b", 2)]
+    relative = os.path.relpath(f"{tmp_path}/relative/t.parquet")
+    layers.write_table(named, relative, buckets=Buckets("cup", 2))
+    assert tables.read_table(spark, relative).count() == 2
+    assert tables.read_table(spark, f"{tmp_path}/relative/t.parquet").count() == 2
+
+
 # ------------------------------------------------------------------------------- figures in a write
 
 
@@ -265,6 +280,16 @@ def test_years_widen_or_are_refused(spark, tmp_path):
         layers.read_years(spark, f"{tmp_path}/{{year}}", [2023, 2024, 2026])
 
 
+def test_years_with_and_without_versions(spark, tmp_path):
+    """A table written here and one of others, with lists that may or may not hold nulls."""
+    df = spark.range(3).select("id", F.array("id", F.col("id") + 1).alias("list"))
+    layers.write_table(df, f"{tmp_path}/2024")
+    layers.write_table(df, f"{tmp_path}/2025", buckets=Buckets("id", 2))
+    df.write.parquet(f"{tmp_path}/2026")
+    years = layers.read_years(spark, f"{tmp_path}/{{year}}", [2024, 2025, 2026])
+    assert years.count() == 9 and dict(years.dtypes)["list"] == "array<bigint>"
+
+
 @pytest.mark.parametrize(
     ("one", "other", "wide"),
     [
