@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import io
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,12 +20,16 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.errors import PySparkValueError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from publicspend.session import shared_folder
 
+# What runs in the tasks is sent along, so that executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUOTE = '"'
 #: Longest record, in characters; two stray quote marks far apart would else make one of any size.
 MOST_CHARS = 1 << 20
@@ -56,10 +61,12 @@ def read_text_table(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = _lines(spark, paths, encoding)
-    parts = text_index(lines, most_chars)
+    index = text_index(lines, most_chars)
+    seen = index.agg(F.max("spans").alias("spans"), F.max("again").alias("again")).first()
+    parts = index if not seen.spans else _placed(index, most_chars)
     header = _header(parts, paths)
     records = [_plain(lines, header, most_chars)]
-    if parts.where("spans OR again").first() is not None:
+    if seen.spans or seen.again:
         # one entry for each part that begins inside a field; the driver lists all parts anyway
         inside: dict[str, list[int]] = {}
         for row in parts.where("inside").select("file", "part").collect():
@@ -215,9 +222,8 @@ def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array, np.n
 
 
 def text_index(lines: DataFrame, most_chars: int = MOST_CHARS) -> DataFrame:
-    """One row for each part of the files, stored; see ``INDEX``. ``inside`` tells whether the part
-    begins inside a quoted field. Fields that are never closed and records that are too long and
-    cross a cut stop here."""
+    """One row for each part of the files, stored; see ``INDEX``. ``inside`` is false, as it is where
+    no line has an odd number of quote marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [part.split() for part in INDEX.split(", ")]
@@ -240,10 +246,15 @@ def text_index(lines: DataFrame, most_chars: int = MOST_CHARS) -> DataFrame:
     run_id = f"{spark.sparkContext.applicationId}/text-index-{uuid.uuid4().hex[:12]}"
     path = f"{shared_folder(spark)}/publicspend/{run_id}"
     lines.select("file", "part", "value", "marks").mapInArrow(run, INDEX).write.parquet(path)
-    stored = spark.read.schema(INDEX).parquet(path)
+    return spark.read.schema(INDEX).parquet(path).withColumn("inside", F.lit(False))
+
+
+def _placed(index: DataFrame, most_chars: int) -> DataFrame:
+    """The index with ``inside``: whether a part begins inside a quoted field. Fields that are never
+    closed and records that are too long and cross a cut stop here."""
     odd = F.col("odd").cast("int")
     in_order = Window.partitionBy("file").orderBy("part")
-    parts = stored.withColumn("inside", (F.sum(odd).over(in_order) - odd) % 2 == 1)
+    parts = index.withColumn("inside", (F.sum(odd).over(in_order) - odd) % 2 == 1)
     last = parts.groupBy("file").agg(F.max_by(F.col("inside") != F.col("odd"), "part").alias("unclosed"))
     unclosed = last.where("unclosed").first()
     if unclosed:

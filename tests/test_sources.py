@@ -1,5 +1,9 @@
 import csv
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -164,6 +168,23 @@ def test_files_with_and_without_fields_over_lines(spark, tmp_path, cut, parts):
     assert found[-1] == ("f", "\n".join("line" for _ in range(100)))
 
 
+def test_executors_need_not_have_the_package(tmp_path):
+    (tmp_path / "a.csv").write_text('A;B\n1;"x\ny"\n')
+    job = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from publicspend.session import session
+from publicspend.sources.csv_files import read_text_table
+spark = session("elsewhere", **{{"spark.master": "local[2]", "spark.ui.enabled": "false"}})
+print(read_text_table(spark, {str(tmp_path / "a.csv")!r}).first())
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", job], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=200
+    )
+    assert "Row(A='1', B='x\\ny')" in done.stdout, done.stderr[-2000:]
+
+
 def text_scans(df):
     return df._jdf.queryExecution().executedPlan().toString().count("FileScan text")
 
