@@ -26,7 +26,7 @@ def parse_number(text: Column) -> Column:
 
 def comma_decimal(text: Column) -> Column:
     """``1234,56`` to 1234.56. A thousands point leaves two points, hence NULL."""
-    return parse_number(F.translate(text, ",", "."))
+    return parse_number(F.replace(text, F.lit(","), F.lit(".")))
 
 
 def italian_number(text: Column) -> Column:

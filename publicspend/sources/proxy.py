@@ -38,7 +38,7 @@ WORKS_STATES = [state for states in MACRO_STATES.values() for state in states]
 
 def comma_text(amount: Column) -> Column:
     """1234.56 as ``1234,56``."""
-    return F.translate(amount.cast("string"), ".", ",")
+    return F.replace(amount.cast("string"), F.lit("."), F.lit(","))
 
 
 def italian_text(amount: Column) -> Column:

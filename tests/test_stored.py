@@ -1,6 +1,7 @@
 """Stored registers and measured writes on a few orders: what they do must grow with the tables."""
 
 import datetime as dt
+import hashlib
 import random
 import re
 import sys
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from publicspend.operators.quality import fingerprint  # noqa: E402
 from publicspend.session import SHUFFLE_SETTING, shuffles_of  # noqa: E402
 from publicspend.sources import tables  # noqa: E402
 
@@ -86,3 +88,22 @@ def test_groups_are_dealt_to_buckets_in_one_shuffle(spark):
         assert len(re.findall(r"\bExchange\b", plan)) == 1
         1 / 0
     assert spark.conf.get(SHUFFLE_SETTING) != "11"
+
+
+def test_register_is_worked_out_once(spark, few_orders, monkeypatch):
+    calls, projects = [], entry.Proxy.projects
+    monkeypatch.setattr(entry.Proxy, "projects", lambda p: calls.append(p) or projects(p))
+    checks = {r.rule: r for r in entry.quality_metrics(spark, few_orders).collect()}
+    assert len(calls) == 1
+    assert checks["same_rows"].observed == 120 and checks["same_keys"].passed
+
+
+def test_fingerprint_is_the_sum_of_60_bits(spark):
+    keys = [None, "", "-", *[f"cup {n}" for n in range(2000)]]
+    df = spark.createDataFrame([(k,) for k in keys], "cup string")
+    texts = ["-" if k is None else f"={k}" for k in keys]
+    total = sum(int(hashlib.md5(t.encode()).hexdigest()[:15], 16) for t in texts)
+    assert df.agg(fingerprint(("cup",))).first()[0] == total % (1 << 62)
+    assert df.where("false").agg(fingerprint(("cup",))).first()[0] == 0
+    plan = df.agg(fingerprint(("cup",)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast" not in plan  # no decimal for each row
