@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import sys
+import threading
 from pathlib import Path
 
 import pytest
@@ -107,3 +108,21 @@ def test_fingerprint_is_the_sum_of_60_bits(spark):
     assert df.where("false").agg(fingerprint(("cup",))).first()[0] == 0
     plan = df.agg(fingerprint(("cup",)))._jdf.queryExecution().optimizedPlan().toString()
     assert "sum(cast" not in plan  # no decimal for each row
+
+
+def test_register_and_sides_are_written_side_by_side(spark, few_orders, monkeypatch):
+    write, lock, running, most = entry.layers.write_table, threading.Lock(), set(), [0]
+
+    def counted(df, path, **kind):
+        with lock:
+            running.add(path)
+            most[0] = max(most[0], len(running))
+        try:
+            return write(df, path, **kind)
+        finally:
+            with lock:
+                running.discard(path)
+
+    monkeypatch.setattr(entry.layers, "write_table", counted)
+    assert entry.queries()["stored_wide_register"](spark, few_orders).count() == 120
+    assert 1 < most[0] <= entry.WRITES_AT_ONCE
